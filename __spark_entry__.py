@@ -23,7 +23,7 @@ from chartwright.plans.daily import ALL_MARKETS, FIXTURE_PARAMS, ChartJob  # noq
 from chartwright.plans.session import scratch_path, tune  # noqa: E402
 from chartwright.sources import files as FS  # noqa: E402
 from chartwright.sources import playlist_store as PS  # noqa: E402
-from chartwright.sources.fixtures import chart_inputs  # noqa: E402
+from chartwright.sources.fixtures import staged_chart_inputs  # noqa: E402
 from chartwright.functions.text import artist_tokens, char_counts, cosine  # noqa: E402
 from chartwright.streaming.watermark import load_watermark  # noqa: E402
 from dataclasses import replace  # noqa: E402
@@ -35,9 +35,15 @@ LIST_COLS = ["market", "playlist", "position", "chart_rank", "track_isrc", "_tra
 
 
 def _job(spark: SparkSession, sf_dir: str, **overrides) -> ChartJob:
+    """The chart job over the driver's tables, facts staged in the production layout."""
     tune(spark)
     params = replace(FIXTURE_PARAMS, **overrides) if overrides else FIXTURE_PARAMS
-    return ChartJob(chart_inputs(spark, sf_dir), params)
+    return ChartJob(inputs(spark, sf_dir), params)
+
+
+def inputs(spark: SparkSession, sf_dir: str):
+    """Stand-in input tables for ``sf_dir``, staged once per session."""
+    return staged_chart_inputs(spark, sf_dir, lambda s: scratch_path(s, "inputs"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -98,7 +104,7 @@ def q_chart(spark, sf_dir):
 
 # --- F6..F13 ----------------------------------------------------------------
 def q_artist_tokens(spark, sf_dir):
-    dim = chart_inputs(spark, sf_dir).dim_partner
+    dim = inputs(spark, sf_dir).dim_partner
     t = artist_tokens("track_artists")
     return dim.select(
         "partner_info_key", "track_artists",
@@ -107,7 +113,7 @@ def q_artist_tokens(spark, sf_dir):
 
 
 def q_char_cosine(spark, sf_dir):
-    i = chart_inputs(spark, sf_dir)
+    i = inputs(spark, sf_dir)
     part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").select(
         F.col("p_partkey").alias("partner_info_key"), "p_brand"
     )

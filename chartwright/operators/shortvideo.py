@@ -20,14 +20,16 @@ two joins whose union is exactly the set of pairs that can satisfy it:
    exact predicate is then evaluated on the candidates only.
 
 Neither side is broadcast on the assumption of smallness: the join keys are
-characters, and Spark / AQE size the joins at run time.
+characters, and Spark / AQE size the joins at run time.  A hot key (many
+rows sharing their rarest characters) only produces candidates for rows
+that share those characters, and AQE splits a skewed join partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartwright.functions.text import char_counts, cosine, squared_norm
@@ -72,67 +74,67 @@ def short_video_top(
     )
 
 
-def _features(df: DataFrame, key: Sequence[str], field: str, vec: str) -> DataFrame:
-    """(key..., field, ch, cnt) for every character of one text column."""
-    return df.select(
-        *key, F.lit(field).alias("field"), F.explode(F.map_entries(F.col(vec))).alias("e")
-    ).select(*key, "field", F.col("e.key").alias("ch"), F.col("e.value").cast("bigint").alias("cnt"))
+# Characters missing from the order map sort last (cannot happen when the
+# map was built from both sides).
+_UNRANKED = 1 << 30
+# Above this many distinct characters the order falls back to code point
+# order: still exact, only less selective.
+MAX_ORDERED_CHARS = 200_000
 
 
-def _prefixes(feats: DataFrame, order: DataFrame, key: Sequence[str], threshold: Column) -> DataFrame:
-    """Rows of ``feats`` that belong to their vector's prefix.
+def character_order(vectors: Sequence[Column], frames: Sequence[DataFrame]) -> Column:
+    """Global character order, rarest first, as a literal map ``char -> rank``.
 
-    A character is in the prefix when the squared mass from it to the end of
-    the (global) order is still at least ``t^2`` of the vector's squared
-    norm; the first character that drops the rest below that is included.
+    One aggregate over the characters of all vectors; its result has one row
+    per distinct character (bounded by the alphabet, not by the data), which
+    is collected and inlined into the plan as a constant map.
     """
-    row = Window.partitionBy(*key, "field")
-    suffix = row.orderBy(F.desc("freq"), F.desc("ch")).rowsBetween(Window.unboundedPreceding, 0)
-    sq = F.col("cnt") * F.col("cnt")
-    ranked = feats.join(order, ["field", "ch"]).select(
-        *key, "field", "ch", F.sum(sq).over(suffix).alias("tail"), F.sum(sq).over(row).alias("norm2")
+    chars = None
+    for df, vec in zip(frames, vectors):
+        part = df.select(F.explode(F.map_keys(vec)).alias("ch"))
+        chars = part if chars is None else chars.unionByName(part)
+    freq = chars.groupBy("ch").count()
+    rows = freq.limit(MAX_ORDERED_CHARS + 1).collect()
+    if len(rows) > MAX_ORDERED_CHARS:
+        return F.create_map().cast("map<string,int>")
+    ranked = sorted(rows, key=lambda r: (r["count"], r["ch"]))
+    if not ranked:
+        return F.create_map().cast("map<string,int>")
+    return F.map_from_arrays(
+        F.array(*[F.lit(r["ch"]) for r in ranked]),
+        F.array(*[F.lit(i) for i in range(len(ranked))]),
     )
-    t = threshold - F.lit(_PREFIX_SLACK)
-    return ranked.filter(F.col("tail") >= t * t * F.col("norm2")).select(*key, "field", "ch")
 
 
-def _prefix_keys(prefix: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per (name-prefix char, artist-prefix char) of each vector pair."""
-    names = prefix.filter(F.col("field") == "name").select(*key, F.col("ch").alias("name_ch"))
-    artists = prefix.filter(F.col("field") == "artist").select(*key, F.col("ch").alias("artist_ch"))
-    return names.join(artists, list(key))
+def prefix_chars(vec: Column, order: Column, threshold: float) -> Column:
+    """Characters of ``vec``'s prefix under ``order`` (see module docstring).
 
-
-def similarity_candidates(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: Sequence[str],
-    right_key: Sequence[str],
-    name_threshold: float,
-    artist_threshold: float,
-) -> DataFrame:
-    """All (left_key, right_key) pairs that can reach both thresholds.
-
-    ``left``/``right`` carry ``market`` and count maps ``name_v``,
-    ``artist_v``.  Returns distinct ``market, *left_key, *right_key``.
+    Entries are sorted by global rank; entry i is kept while the squared
+    mass from i to the end is at least ``t^2`` of the squared norm, which
+    keeps the first entry whose removal drops the rest below it.
     """
-    for t in (name_threshold, artist_threshold):
-        if not 0.0 < t <= 1.0:
-            raise ValueError("similarity thresholds must be in (0, 1]")
-    lk = ["market", *left_key]
-    rk = ["market", *right_key]
-    lf = _features(left, lk, "name", "name_v").unionByName(_features(left, lk, "artist", "artist_v"))
-    rf = _features(right, rk, "name", "name_v").unionByName(_features(right, rk, "artist", "artist_v"))
-    # Global order: rarest character first, ties by the character itself.
-    # Bounded by the number of distinct code points per field.
-    order = (
-        lf.select("field", "ch").unionByName(rf.select("field", "ch"))
-        .groupBy("field", "ch").agg(F.count("*").alias("freq"))
+    t = threshold - _PREFIX_SLACK
+    entries = F.array_sort(F.transform(
+        F.map_entries(vec),
+        lambda e: F.struct(
+            F.coalesce(F.try_element_at(order, e["key"]), F.lit(_UNRANKED)).alias("r"),
+            e["key"].alias("ch"),
+            e["value"].cast("bigint").alias("c"),
+        ),
+    ))
+    norm2 = squared_norm(vec)
+    before = lambda i: F.aggregate(  # noqa: E731  squared mass of entries 0..i-1
+        F.slice(entries, 1, i), F.lit(0).cast("bigint"), lambda acc, x: acc + x["c"] * x["c"]
     )
-    thr = F.when(F.col("field") == "name", F.lit(name_threshold)).otherwise(F.lit(artist_threshold))
-    lp = _prefix_keys(_prefixes(lf, order, lk, thr), lk)
-    rp = _prefix_keys(_prefixes(rf, order, rk, thr), rk)
-    return lp.join(rp, ["market", "name_ch", "artist_ch"]).select(*lk, *right_key).distinct()
+    kept = F.filter(entries, lambda e, i: (norm2 - before(i)) >= F.lit(t * t) * norm2)
+    return F.transform(kept, lambda e: e["ch"])
+
+
+def prefix_keys(name_v: Column, artist_v: Column, order: Column, t_name: float, t_artist: float) -> Column:
+    """Every (name-prefix char, artist-prefix char) pair of one row."""
+    pn = prefix_chars(name_v, order, t_name)
+    pa = prefix_chars(artist_v, order, t_artist)
+    return F.flatten(F.transform(pn, lambda a: F.transform(pa, lambda b: F.struct(a.alias("n"), b.alias("a")))))
 
 
 def fuzzy_match_tracks(
@@ -147,29 +149,42 @@ def fuzzy_match_tracks(
     _track_artist, _track_name, ...``; ``short_video``: output of
     ``short_video_top`` for one or more feeds.  Returns one row per matching
     pair with both similarities.
+
+    Plan: count vectors and prefix keys are row-local expressions (no
+    shuffle); candidates come from one equi-join on (market, key) and one on
+    (market, ISRC); their union is de-duplicated per pair, then the exact
+    predicate is evaluated on what is left.
     """
+    for t in (name_threshold, artist_threshold):
+        if not 0.0 < t <= 1.0:
+            raise ValueError("similarity thresholds must be in (0, 1]")
     left = chart_rows.select(
         "market", "chart_rank", "track_isrc", "_track_uri", "_track_artist", "_track_name",
-        char_counts("_track_name").alias("name_v"), char_counts("_track_artist").alias("artist_v"),
+        char_counts("_track_name").alias("l_name_v"), char_counts("_track_artist").alias("l_artist_v"),
     )
     right = short_video.select(
-        "market", F.col("feed").alias("tt_feed"), "tt_rank", "isrc_cd", "_artist_name_tt",
-        "_track_name_tt", "tt_creations",
-        char_counts("_track_name_tt").alias("name_v"), char_counts("_artist_name_tt").alias("artist_v"),
+        F.col("market").alias("r_market"), F.col("feed").alias("tt_feed"), "tt_rank", "isrc_cd",
+        "_artist_name_tt", "_track_name_tt", "tt_creations",
+        char_counts("_track_name_tt").alias("r_name_v"), char_counts("_artist_name_tt").alias("r_artist_v"),
+    )
+    order = character_order(
+        [F.col("l_name_v"), F.col("l_artist_v"), F.col("r_name_v"), F.col("r_artist_v")],
+        [left, left, right, right],
+    )
+    lk = left.select("*", F.explode(
+        prefix_keys(F.col("l_name_v"), F.col("l_artist_v"), order, name_threshold, artist_threshold)
+    ).alias("l_key"))
+    rk = right.select("*", F.explode(
+        prefix_keys(F.col("r_name_v"), F.col("r_artist_v"), order, name_threshold, artist_threshold)
+    ).alias("r_key"))
+    by_text = lk.join(rk, (lk.market == rk.r_market) & (lk.l_key == rk.r_key)).drop("l_key", "r_key")
+    by_isrc = left.join(right, (left.market == right.r_market) & (left.track_isrc == right.isrc_cd))
+    pairs = by_text.unionByName(by_isrc).dropDuplicates(["market", "chart_rank", "tt_feed", "tt_rank"])
+    scored = pairs.select(
+        "*",
+        cosine(F.col("l_name_v"), F.col("r_name_v")).alias("sim_name"),
+        cosine(F.col("l_artist_v"), F.col("r_artist_v")).alias("sim_artist"),
     )
-    lkey, rkey = ["chart_rank"], ["tt_feed", "tt_rank"]
-    by_isrc = left.join(
-        right, (left.market == right.market) & (left.track_isrc == right.isrc_cd)
-    ).select(left.market, left.chart_rank, right.tt_feed, right.tt_rank)
-    by_text = similarity_candidates(left, right, lkey, rkey, name_threshold, artist_threshold)
-    pairs = by_isrc.unionByName(by_text).distinct()
-
-    l = left.withColumnsRenamed({"name_v": "l_name_v", "artist_v": "l_artist_v"})
-    r = right.withColumnsRenamed({"name_v": "r_name_v", "artist_v": "r_artist_v"})
-    joined = pairs.join(l, ["market", *lkey]).join(r, ["market", *rkey])
-    sim_name = cosine(F.col("l_name_v"), F.col("r_name_v"))
-    sim_artist = cosine(F.col("l_artist_v"), F.col("r_artist_v"))
-    scored = joined.select("*", sim_name.alias("sim_name"), sim_artist.alias("sim_artist"))
     keep = (
         (F.col("sim_name") >= name_threshold) & (F.col("sim_artist") >= artist_threshold)
     ) | F.coalesce(F.col("track_isrc") == F.col("isrc_cd"), F.lit(False))
@@ -180,9 +195,4 @@ def fuzzy_match_tracks(
     )
 
 
-__all__ = [
-    "short_video_top",
-    "similarity_candidates",
-    "fuzzy_match_tracks",
-    "squared_norm",
-]
+__all__ = ["short_video_top", "character_order", "prefix_chars", "prefix_keys", "fuzzy_match_tracks"]

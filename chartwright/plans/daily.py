@@ -1,10 +1,10 @@
 """The daily chart job, composed from the operators.
 
-``ChartJob`` wires inputs and parameters into the stage DataFrames.  Every
-stage is lazy; nothing runs until an action.  ``run_daily`` is the
-production form: it materialises the chart once (reliable checkpoint in the
-shared ``spark.checkpoint.dir``), then derives every playlist from it and
-writes the playlist snapshot and its manifest in one job each.
+``ChartJob`` wires inputs and parameters into the stage DataFrames.
+``run_daily`` is the production form: it materialises the chart once (a
+Parquet table in the shared ``spark.checkpoint.dir``), derives every
+playlist from it and writes the playlist snapshot, its manifest and the
+publish batches.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from chartwright.sources.fixtures import (
     VIEWS_SME,
     ChartInputs,
 )
-from chartwright.plans.session import scratch_dir
+from chartwright.plans.session import materialize
 from chartwright.streaming.watermark import load_watermark
 
 
@@ -86,24 +86,23 @@ ALL_MARKETS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 class ChartJob:
     """Stage DataFrames of one run.
 
-    With ``materialize`` (the default) three small, reused stages are
-    written once with a reliable ``checkpoint()`` into the shared
-    ``spark.checkpoint.dir``: each feed's day slice (read by the top list and
-    the segment sums), the feed tracks (read by metadata, shares and release
-    lookups) and the chart (read by every playlist and the viral match).
-    That cuts lineage, so a lost executor recomputes from the checkpoint,
-    not from the raw facts, and each raw fact is scanned once per run.
+    With ``materialize`` (the default) small stages that are read more than
+    once are written as Parquet into the shared ``spark.checkpoint.dir`` and
+    read back (``plans.session.materialize``): the feed tracks (read by
+    metadata, shares and release lookups), the chart (read by every
+    playlist and the viral match) and the short-video top (read three times
+    by the match).  That cuts lineage, so a lost executor recomputes from
+    these tables, not from the raw facts.  Facts are expected in the
+    production layout, partitioned by ``report_date, country_code_stream``
+    (see ``sources.fixtures.stage_inputs`` for the test data).
     """
 
     inputs: ChartInputs
     params: ChartParams = field(default=FIXTURE_PARAMS)
     materialize: bool = True
 
-    def _cut(self, df: DataFrame) -> DataFrame:
-        if not self.materialize:
-            return df
-        scratch_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+    def _cut(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        return materialize(df, name) if self.materialize else df
 
     # --- C1 ---------------------------------------------------------------
     def streams_watermark(self) -> DataFrame:
@@ -113,7 +112,7 @@ class ChartJob:
     @cached_property
     def _listens(self) -> dict[str, DataFrame]:
         p, i = self.params, self.inputs
-        return {f: self._cut(C.daily_listens(i.streams[f], p.day, p.markets)) for f in D.FEEDS}
+        return {f: C.daily_listens(i.streams[f], p.day, p.markets) for f in D.FEEDS}
 
     @cached_property
     def top_sme(self) -> DataFrame:
@@ -173,7 +172,7 @@ class ChartJob:
                                 p.short_video_n_sme, "SME")
         orch = V.short_video_top(i.views["ORCHARD"], i.dim_partner_tt, p.short_video_day, p.markets,
                                  p.short_video_n_orchard, "ORCHARD")
-        return sme.unionByName(orch)
+        return self._cut(sme.unionByName(orch), "short-video")
 
     def fuzzy_pairs(self, chart: DataFrame | None = None) -> DataFrame:
         p = self.params
@@ -197,3 +196,39 @@ class ChartJob:
         p = self.params
         chosen = P.viral_selection(self.fuzzy_pairs(chart), p.playlist_length)
         return P.declump(chosen, p.passes)
+
+
+LIST_COLUMNS = ("market", "playlist", "position", "chart_rank", "track_isrc", "_track_uri", "_track_artist")
+
+
+def daily_lists(job: ChartJob) -> DataFrame:
+    """Every list of the run (themes + viral) in one long table."""
+    themes = job.playlists().select(*LIST_COLUMNS)
+    viral = job.viral().select(*LIST_COLUMNS)
+    return themes.unionByName(viral)
+
+
+def run_daily(job: ChartJob, out_dir: str) -> DataFrame:
+    """The production run: chart, all lists, snapshot + manifest + batches.
+
+    Writes ``out_dir/playlists`` (partitioned by market and list, dynamic
+    overwrite), ``out_dir/manifest`` (written after the lists) and
+    ``out_dir/batches`` (publish calls).  Returns the manifest.
+    """
+    from chartwright.sources import playlist_store as PS
+
+    p = job.params
+    spark = job.inputs.dim_partner.sparkSession
+    lists = job._cut(daily_lists(job))
+    names = [r.name for r in job.rules()] + ["viral"]
+    expected = PS.expected_lists(spark, p.markets, names)
+    base = out_dir.rstrip("/")
+    manifest = PS.write_playlists(lists, expected, f"{base}/playlists", f"{base}/manifest", p.day)
+    (
+        P.playlist_batches(lists, p.day)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("market", "playlist")
+        .parquet(f"{base}/batches")
+    )
+    return manifest

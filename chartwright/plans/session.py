@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Top-k per market is written as ``row_number() <= n``.  Spark inserts a
 # partial ``WindowGroupLimit`` below the shuffle only when n is at most this
@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName("chartwright")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
@@ -68,3 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the scratch folder."""
     base = scratch_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet into the shared scratch folder and read it back.
+
+    This is the lineage cut used between job stages: one computation (a
+    reliable ``checkpoint()`` computes its input twice unless cached), files
+    on the shared filesystem survive a lost executor, and the read-back plan
+    carries real file sizes, so the next joins are planned from them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartwright.operators.charts import DateLike, _date
+from chartwright.plans.session import materialize
 from chartwright.operators.playlists import LIST_KEY, playlist_description
 
 
@@ -58,8 +59,8 @@ def write_playlists(
             _date(as_of).alias("as_of"),
             F.coalesce("n_tracks", F.lit(0)).cast("int").alias("n_tracks"),
         )
-        .checkpoint(eager=True)  # small; read twice below
     )
+    manifest = materialize(manifest, "manifest-stage")  # small; read twice below
     if not allow_empty:
         empty = manifest.filter(F.col("n_tracks") == 0).select(*LIST_KEY).limit(5).collect()
         if empty:
