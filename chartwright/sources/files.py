@@ -108,7 +108,7 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     source with the ``content`` column pruned (no file is read); folders are
     the distinct parent paths of the files, with NULL size and time (empty
     folders are not seen).  As in the original, a name is a "file" when it
-    contains a dot.
+    contains a dot; any other entry gets NULL size and time.
     """
     base = root.rstrip("/")
     files = (
@@ -144,4 +144,10 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
             F.lit(None).cast("timestamp").alias("modified_at"),
         )
     )
-    return entries.unionByName(folders).withColumn("is_file", F.col("filename").contains("."))
+    is_file = F.col("filename").contains(".")
+    return entries.unionByName(folders).select(
+        "path", "filename",
+        F.when(is_file, F.col("filesize")).alias("filesize"),
+        F.when(is_file, F.col("modified_at")).alias("modified_at"),
+        is_file.alias("is_file"),
+    )
