@@ -32,6 +32,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body``.
+
+    Lambda bodies are evaluated per element and share no subexpressions, so
+    a value used inside one (or used twice) is bound through a one-element
+    array instead of being recomputed.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def clean_words(artist: Column | str, stop_words: tuple[str, ...] = D.STOP_WORDS) -> Column:
     """Words of the cleaned, lower-cased text without stop words (may be empty)."""
     cleaned = F.regexp_replace(F.lower(_col(artist)), NOT_WORD_OR_SPACE, "")
@@ -42,10 +52,11 @@ def clean_words(artist: Column | str, stop_words: tuple[str, ...] = D.STOP_WORDS
 
 def artist_tokens(artist: Column | str, stop_words: tuple[str, ...] = D.STOP_WORDS) -> Column:
     """the token set used to detect neighbouring tracks by one artist."""
-    words = clean_words(artist, stop_words)
-    return F.when(_col(artist).isNull(), F.lit(None).cast("array<string>")).when(
-        F.size(words) == 0, F.array(F.lit(""))
-    ).otherwise(F.array_distinct(words))
+    tokens = let(
+        clean_words(artist, stop_words),
+        lambda words: F.when(F.size(words) == 0, F.array(F.lit(""))).otherwise(F.array_distinct(words)),
+    )
+    return F.when(_col(artist).isNull(), F.lit(None).cast("array<string>")).otherwise(tokens)
 
 
 def tokens_overlap(a: Column, b: Column) -> Column:
@@ -59,14 +70,22 @@ def similarity_text(text: Column | str) -> Column:
 
 
 def char_counts(text: Column | str) -> Column:
-    """map code point -> count of the preprocessed text (NULL stays NULL)."""
-    chars = F.regexp_extract_all(similarity_text(text), F.lit(ANY_CODE_POINT), 0)
-    return F.map_from_entries(
-        F.transform(
-            F.array_distinct(chars),
-            lambda ch: F.struct(ch.alias("key"), F.size(F.filter(chars, lambda y: y == ch)).alias("value")),
-        )
-    )
+    """map code point -> count of the preprocessed text (NULL stays NULL).
+
+    Each distinct code point is counted natively as the length lost when it
+    is removed, so the lambda runs once per distinct character.
+    """
+    def counts(s: Column) -> Column:
+        distinct = F.array_distinct(F.regexp_extract_all(s, F.lit(ANY_CODE_POINT), 0))
+        return F.map_from_entries(F.transform(
+            distinct,
+            lambda ch: F.struct(
+                ch.alias("key"),
+                (F.char_length(s) - F.char_length(F.replace(s, ch, F.lit("")))).alias("value"),
+            ),
+        ))
+
+    return F.when(_col(text).isNotNull(), let(similarity_text(text), counts))
 
 
 def squared_norm(counts: Column) -> Column:
