@@ -102,6 +102,11 @@ def q_chart(spark, sf_dir):
     return _job(spark, sf_dir).chart
 
 
+def q_chart_at_watermark(spark, sf_dir):
+    """All markets, each on its own newest fully loaded day (C1 + C10)."""
+    return _job(spark, sf_dir, day=None, markets=ALL_MARKETS).chart
+
+
 # --- F6..F13 ----------------------------------------------------------------
 def q_artist_tokens(spark, sf_dir):
     dim = inputs(spark, sf_dir).dim_partner
@@ -249,6 +254,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "earliest_release": q_earliest_release,
         "segment_shares": q_segment_shares,
         "chart": q_chart,
+        "chart_at_watermark": q_chart_at_watermark,
         "artist_tokens": q_artist_tokens,
         "char_cosine": q_char_cosine,
         "declump_once": q_declump_once,

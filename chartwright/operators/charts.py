@@ -40,7 +40,22 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, ran
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
-def daily_listens(streams: DataFrame, day: DateLike, markets: Sequence[str]) -> DataFrame:
+def on_day(df: DataFrame, day: "DateLike | DataFrame", markets: Sequence[str], market_col: str) -> DataFrame:
+    """Rows of ``markets`` on ``day``: one date for all, or a ``(market, day)``
+    table with a day per market (e.g. each market's load watermark).
+
+    The per-market form is a semi-join with a broadcast table of one row per
+    market; on facts partitioned by date it also prunes partitions at run
+    time (dynamic partition pruning).
+    """
+    rows = df.filter(F.col(market_col).isin(list(markets)))
+    if isinstance(day, DataFrame):
+        days = F.broadcast(day.select(F.col("market").alias(market_col), F.col("day").alias("report_date")))
+        return rows.join(days, [market_col, "report_date"], "left_semi")
+    return rows.filter(F.col("report_date") == _date(day))
+
+
+def daily_listens(streams: DataFrame, day: "DateLike | DataFrame", markets: Sequence[str]) -> DataFrame:
     """Streams of one day per (market, track key, consumer, consumer country).
 
     The one read of the day's fact rows shared by ``top_tracks`` and
@@ -50,9 +65,7 @@ def daily_listens(streams: DataFrame, day: DateLike, markets: Sequence[str]) ->
     track or consumer costs one row per task.
     """
     return (
-        streams.filter(
-            (F.col("report_date") == _date(day)) & F.col("country_code_stream").isin(list(markets))
-        )
+        on_day(streams, day, markets, "country_code_stream")
         .groupBy(
             F.col("country_code_stream").alias("market"), "partner_info_key", "consumer_key", "country_code"
         )

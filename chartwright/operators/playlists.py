@@ -128,7 +128,7 @@ def viral_selection(pairs: DataFrame, length: int = D.PLAYLIST_LENGTH, passes: i
     )
 
 
-def playlist_batches(lists: DataFrame, as_of: DateLike, batch_size: int = D.BATCH_SIZE,
+def playlist_batches(lists: DataFrame, as_of: "DateLike | Column", batch_size: int = D.BATCH_SIZE,
                      uri_col: str = "_track_uri") -> DataFrame:
     """Publish calls of up to ``batch_size`` URIs per list.
 
@@ -137,8 +137,10 @@ def playlist_batches(lists: DataFrame, as_of: DateLike, batch_size: int = D.BATC
     batch collects at most ``batch_size`` URIs.
     """
     batch_no = F.floor((F.col("position") - 1) / batch_size).cast("int")
+    as_of_col = as_of if isinstance(as_of, Column) else _date(as_of)
     per_batch = lists.groupBy(*LIST_KEY, batch_no.alias("batch_no")).agg(
-        F.sort_array(F.collect_list(F.struct("position", uri_col))).alias("_items")
+        F.sort_array(F.collect_list(F.struct("position", uri_col))).alias("_items"),
+        F.max(as_of_col).alias("_as_of"),
     )
     n_batches = F.max("batch_no").over(Window.partitionBy(*LIST_KEY))
     return per_batch.select(
@@ -148,10 +150,11 @@ def playlist_batches(lists: DataFrame, as_of: DateLike, batch_size: int = D.BATC
         F.lit(0).alias("insert_at"),
         F.transform("_items", lambda x: x[uri_col]).alias("uris"),
         F.size("_items").alias("n_uris"),
-        playlist_description(as_of).alias("description"),
+        playlist_description(F.col("_as_of")).alias("description"),
     )
 
 
-def playlist_description(as_of: DateLike) -> Column:
+def playlist_description(as_of: "DateLike | Column") -> Column:
     """F16 + F5: the list description, e.g. ``Dane na dzien 2024-01-07``."""
-    return F.concat(F.lit(D.DESCRIPTION_PREFIX), F.date_format(_date(as_of), "yyyy-MM-dd"))
+    day = as_of if isinstance(as_of, Column) else _date(as_of)
+    return F.concat(F.lit(D.DESCRIPTION_PREFIX), F.date_format(day, "yyyy-MM-dd"))

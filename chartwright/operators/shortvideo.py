@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartwright.functions.text import char_counts, cosine, squared_norm
-from chartwright.operators.charts import DateLike, _date, top_n
+from chartwright.operators.charts import DateLike, on_day, top_n
 
 # Make the prefix a little longer than the exact bound so that pairs whose
 # floating-point cosine lands on the threshold are never pruned.
@@ -43,7 +43,7 @@ _PREFIX_SLACK = 1e-9
 def short_video_top(
     views: DataFrame,
     dim_partner_tt: DataFrame,
-    day: DateLike,
+    day: "DateLike | DataFrame",
     markets: Sequence[str],
     n: int,
     feed: str,
@@ -53,7 +53,7 @@ def short_video_top(
     A NULL ISRC is a group of its own and may rank.  Ties: ISRC ascending.
     """
     per_key = (
-        views.filter((F.col("report_date") == _date(day)) & F.col("country_code").isin(list(markets)))
+        on_day(views, day, markets, "country_code")
         .groupBy(F.col("country_code").alias("market"), "partner_info_key")
         .agg(F.sum("creations").alias("creations"))
     )

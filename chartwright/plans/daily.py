@@ -26,16 +26,16 @@ from chartwright.sources.fixtures import (
     ChartInputs,
 )
 from chartwright.plans.session import materialize
-from chartwright.streaming.watermark import load_watermark
+from chartwright.streaming.watermark import load_watermark, resolve_watermark
 
 
 @dataclass(frozen=True)
 class ChartParams:
-    day: str
+    day: str | None                     # None: each market's streams load watermark
     markets: tuple[str, ...]
     run_date: str                       # "today" for the cover window
     segments: tuple[str, ...]           # pinned share columns
-    short_video_day: str
+    short_video_day: str | None         # None: each market's views load watermark
     catalogue_run_date: str             # "today" for the catalogue age cut
     home_market: str = D.HOME_MARKET
     cover_sources: tuple[int, ...] = D.COVER_SOURCES
@@ -108,11 +108,32 @@ class ChartJob:
     def streams_watermark(self) -> DataFrame:
         return load_watermark(self.inputs.load_status, self.params.streams_tables, self.params.markets)
 
+    def _watermark_days(self, tables: tuple[str, ...]) -> DataFrame:
+        """``(market, day)``: each market's newest fully loaded day.
+
+        Collects at most one row per market and fails when a market has
+        none, instead of building (and publishing) an empty chart.
+        """
+        p = self.params
+        days = resolve_watermark(load_watermark(self.inputs.load_status, tables, p.markets), p.markets)
+        spark = self.inputs.dim_partner.sparkSession
+        return spark.createDataFrame(sorted(days.items()), "market string, day date")
+
+    @cached_property
+    def stream_days(self) -> "str | DataFrame":
+        p = self.params
+        return p.day if p.day is not None else self._watermark_days(p.streams_tables)
+
+    @cached_property
+    def video_days(self) -> "str | DataFrame":
+        p = self.params
+        return p.short_video_day if p.short_video_day is not None else self._watermark_days(p.views_tables)
+
     # --- C2..C6 -----------------------------------------------------------
     @cached_property
     def _listens(self) -> dict[str, DataFrame]:
         p, i = self.params, self.inputs
-        return {f: C.daily_listens(i.streams[f], p.day, p.markets) for f in D.FEEDS}
+        return {f: C.daily_listens(i.streams[f], self.stream_days, p.markets) for f in D.FEEDS}
 
     @cached_property
     def top_sme(self) -> DataFrame:
@@ -168,9 +189,9 @@ class ChartJob:
     @cached_property
     def short_video(self) -> DataFrame:
         p, i = self.params, self.inputs
-        sme = V.short_video_top(i.views["SME"], i.dim_partner_tt, p.short_video_day, p.markets,
+        sme = V.short_video_top(i.views["SME"], i.dim_partner_tt, self.video_days, p.markets,
                                 p.short_video_n_sme, "SME")
-        orch = V.short_video_top(i.views["ORCHARD"], i.dim_partner_tt, p.short_video_day, p.markets,
+        orch = V.short_video_top(i.views["ORCHARD"], i.dim_partner_tt, self.video_days, p.markets,
                                  p.short_video_n_orchard, "ORCHARD")
         return self._cut(sme.unionByName(orch), "short-video")
 
@@ -223,9 +244,15 @@ def run_daily(job: ChartJob, out_dir: str) -> DataFrame:
     names = [r.name for r in job.rules()] + ["viral"]
     expected = PS.expected_lists(spark, p.markets, names)
     base = out_dir.rstrip("/")
-    manifest = PS.write_playlists(lists, expected, f"{base}/playlists", f"{base}/manifest", p.day)
+    days = job.stream_days
+    manifest = PS.write_playlists(lists, expected, f"{base}/playlists", f"{base}/manifest", days)
+    if isinstance(days, DataFrame):
+        lists = lists.join(F.broadcast(days), "market")   # one row per market
+        as_of = F.col("day")
+    else:
+        as_of = days
     (
-        P.playlist_batches(lists, p.day)
+        P.playlist_batches(lists, as_of)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("market", "playlist")

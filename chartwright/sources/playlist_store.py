@@ -39,24 +39,30 @@ def write_playlists(
     expected: DataFrame,
     path: str,
     manifest_path: str,
-    as_of: DateLike,
+    as_of: "DateLike | DataFrame",
     uri_col: str = "_track_uri",
     allow_empty: bool = True,
 ) -> DataFrame:
     """Replace each expected list with its new contents.
 
+    ``as_of`` is the data date of all lists, or a ``(market, day)`` table.
+
     Returns the manifest rows written (``market, playlist, description,
     as_of, n_tracks``).  With ``allow_empty=False`` an empty list raises
     before anything is written.
     """
     rows = lists.select(*LIST_KEY, "position", F.col(uri_col).alias("track_uri"))
     counts = rows.groupBy(*LIST_KEY).agg(F.count("*").alias("n_tracks"))
+    if isinstance(as_of, DataFrame):
+        expected = expected.join(F.broadcast(as_of.select("market", F.col("day").alias("_as_of"))), "market", "left")
+    else:
+        expected = expected.withColumn("_as_of", _date(as_of))
     manifest = (
         expected.join(counts, list(LIST_KEY), "left")
         .select(
             *LIST_KEY,
-            playlist_description(as_of).alias("description"),
-            _date(as_of).alias("as_of"),
+            playlist_description(F.col("_as_of")).alias("description"),
+            F.col("_as_of").alias("as_of"),
             F.coalesce("n_tracks", F.lit(0)).cast("int").alias("n_tracks"),
         )
     )
@@ -68,7 +74,7 @@ def write_playlists(
     tombstones = manifest.filter(F.col("n_tracks") == 0).select(
         *LIST_KEY, F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("track_uri")
     )
-    out = rows.join(expected, list(LIST_KEY), "left_semi").unionByName(tombstones)
+    out = rows.join(expected.select(*LIST_KEY), list(LIST_KEY), "left_semi").unionByName(tombstones)
     (
         out.repartition(*LIST_KEY)
         .write.mode("overwrite")

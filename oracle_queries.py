@@ -92,9 +92,16 @@ def chart_ctes(
     cover_days: int = 730,
     n_sme: int = 5000,
     n_orch: int = 500,
+    watermark: bool = False,
 ) -> list[str]:
-    """The chart job for one day; every CTE name carries the suffix ``s``."""
+    """The chart job for one day (or each market's streams watermark);
+    every CTE name carries the suffix ``s``."""
     mk = _in(markets)
+    if watermark:
+        day_pred = (f"(f.country_code_stream, f.report_date) IN (SELECT country_code, min(max_report_date) "
+                    f"FROM load_status WHERE fact_table IN ('streams_sme', 'streams_orchard') GROUP BY 1)")
+    else:
+        day_pred = f"f.report_date = DATE '{day}'"
     src = ", ".join(str(x) for x in sources)
     out = []
     for feed, fs, n in (("sme", "fs_sme", n_sme), ("orch", "fs_orch", n_orch)):
@@ -106,7 +113,7 @@ def chart_ctes(
                    min(d.track_name) AS _track_name, {genre_col} AS _primary_genre,
                    CAST(sum(f.num_streams) AS BIGINT) AS total_streams
             FROM {fs} f JOIN dpi d USING (partner_info_key) {genre_join}
-            WHERE f.report_date = DATE '{day}' AND f.country_code_stream IN ({mk})
+            WHERE {day_pred} AND f.country_code_stream IN ({mk})
             GROUP BY 1, 2)""")
         out.append(f"""top1_{feed}{s} AS (
             SELECT *, CAST(row_number() OVER (PARTITION BY market ORDER BY total_streams DESC NULLS LAST,
@@ -128,7 +135,7 @@ def chart_ctes(
             FROM {fs} f JOIN dpi d USING (partner_info_key)
             JOIN top_{feed}{s} t ON t.market = f.country_code_stream AND t.track_isrc = d.track_isrc
             LEFT JOIN scs sc ON sc.consumer_key = f.consumer_key AND sc.country_code = f.country_code
-            WHERE f.report_date = DATE '{day}' AND f.country_code_stream IN ({mk})
+            WHERE {day_pred} AND f.country_code_stream IN ({mk})
             GROUP BY 1, 2, 3)""")
         out.append(f"""cov_{feed}{s} AS (
             SELECT track_isrc, track_uri AS track_uri_fs, cover_streams FROM (
@@ -370,6 +377,8 @@ def oracle_sql() -> dict[str, str]:
     q["earliest_release"] = _with(ch, "SELECT track_isrc, release_date FROM rel")
     q["segment_shares"] = _with(ch, "SELECT * FROM shares")
     q["chart"] = _with(ch, f"SELECT {_chart_cols()} FROM chart")
+    q["chart_at_watermark"] = _with(fx + chart_ctes(markets=ALL_MARKETS, watermark=True),
+                                    f"SELECT {_chart_cols()} FROM chart")
     q["artist_tokens"] = _with(fx + [f"tk AS (SELECT partner_info_key, track_artists, {tokens_expr('track_artists')} AS t FROM dpi)"], """
         SELECT partner_info_key, track_artists, array_to_string(list_sort(t), '|') AS tokens,
                CAST(len(t) AS INTEGER) AS n_tokens FROM tk""")

@@ -54,3 +54,25 @@ def test_diff(spark):
     new = _list(spark, "M", "top", 4).filter(F.col("position") != 1).withColumnRenamed("_track_uri", "track_uri")
     got = {(r["track_uri"], r["change"]) for r in PS.playlist_diff(old, new).collect()}
     assert got == {("u4", "added"), ("u1", "removed")}
+
+
+def test_run_daily_all_markets_on_watermarks(spark, tmp_scratch):
+    from dataclasses import replace
+
+    import __spark_entry__ as E
+    from chartwright.plans.daily import ALL_MARKETS, FIXTURE_PARAMS, ChartJob, run_daily
+    from conftest import SF_SMALL
+
+    params = replace(FIXTURE_PARAMS, markets=ALL_MARKETS, day=None, short_video_day=None)
+    out = tmp_scratch("daily")
+    manifest = run_daily(ChartJob(E.inputs(spark, SF_SMALL), params), out).collect()
+    assert len(manifest) == len(ALL_MARKETS) * 6
+    wm = {r["market"]: r["watermark"] for r in E.q_load_watermark(spark, SF_SMALL).collect()}
+    for r in manifest:
+        assert r["as_of"] == wm[r["market"]]
+        assert r["description"] == "Dane na dzien " + wm[r["market"]].isoformat()
+    lists = PS.read_playlists(spark, f"{out}/playlists")
+    per_list = {(r["market"], r["playlist"]): r["count"] for r in lists.groupBy("market", "playlist").count().collect()}
+    assert per_list == {(r["market"], r["playlist"]): r["n_tracks"] for r in manifest if r["n_tracks"] > 0}
+    batches = spark.read.parquet(f"{out}/batches")
+    assert batches.agg({"n_uris": "sum"}).collect()[0][0] == sum(r["n_tracks"] for r in manifest)
