@@ -107,3 +107,19 @@ def playlist_diff(old: DataFrame, new: DataFrame, uri_col: str = "track_uri") ->
     added = n.join(o, key, "left_anti").withColumn("change", F.lit("added"))
     removed = o.join(n, key, "left_anti").withColumn("change", F.lit("removed"))
     return added.unionByName(removed)
+
+
+ITEMS_SCHEMA = "struct<items: array<struct<track: struct<uri: string>>>>"
+
+
+def playlist_items_from_json(df: DataFrame, body_col: str = "body") -> DataFrame:
+    """track URIs out of a playlist-items JSON page, in order.
+
+    ``df`` has ``market, playlist`` and one JSON body per row
+    (``{"items": [{"track": {"uri": ...}}, ...]}``); returns one row per item
+    with its 1-based position, for comparing a published list with a snapshot.
+    """
+    uris = F.transform(F.from_json(F.col(body_col), ITEMS_SCHEMA)["items"], lambda x: x["track"]["uri"])
+    return df.select(*LIST_KEY, F.posexplode(uris).alias("pos", "track_uri")).select(
+        *LIST_KEY, (F.col("pos") + 1).alias("position"), "track_uri"
+    )

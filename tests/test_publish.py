@@ -76,3 +76,10 @@ def test_run_daily_all_markets_on_watermarks(spark, tmp_scratch):
     assert per_list == {(r["market"], r["playlist"]): r["n_tracks"] for r in manifest if r["n_tracks"] > 0}
     batches = spark.read.parquet(f"{out}/batches")
     assert batches.agg({"n_uris": "sum"}).collect()[0][0] == sum(r["n_tracks"] for r in manifest)
+
+
+def test_items_from_json(spark):
+    body = '{"items": [{"track": {"uri": "u:1"}}, {"track": {"uri": "u:2"}}]}'
+    df = spark.createDataFrame([("M", "top", body)], "market string, playlist string, body string")
+    got = [(r["position"], r["track_uri"]) for r in PS.playlist_items_from_json(df).orderBy("position").collect()]
+    assert got == [(1, "u:1"), (2, "u:2")]
