@@ -35,3 +35,6 @@ GAMING_EDM_FLOOR = 1.0
 PARTY_EDM_MIN = 20.0             # edm > 20
 GAMING_PASSES = 0                # the scheduled job never declumps this list
 # ---------------------------------------------------------------------------
+
+# Plan settings (not from the original job).
+TOP_K_BUCKETS = 16               # sub-groups of the two-level top-k per market

@@ -34,8 +34,34 @@ def _date(value: DateLike) -> Column:
     return F.lit(str(value)).cast("date")
 
 
-def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank_col: str) -> DataFrame:
-    """Keep the first ``n`` rows per ``by`` group in ``order``; ``rank_col`` is 1-based."""
+def top_n(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    rank_col: str,
+    split_by: Sequence[str] = (),
+    buckets: int = 0,
+) -> DataFrame:
+    """Keep the first ``n`` rows per ``by`` group in ``order``; ``rank_col`` is 1-based.
+
+    With ``buckets`` > 1, a hot group (one market holding a third of all
+    rows) is cut in two levels: first the top ``n`` within each of
+    ``buckets`` sub-groups by ``hash(split_by)``, then the top ``n`` of
+    those.  Every row of the group's top ``n`` is in its sub-group's top
+    ``n``, so the result is the same; the final window sees at most
+    ``n * buckets`` rows per group instead of every row of the group.
+    ``order`` must be total (end with a key) for the result to be unique.
+    """
+    if buckets > 1 and split_by:
+        salt = F.pmod(F.hash(*[F.col(c) for c in split_by]), F.lit(buckets))
+        sub = Window.partitionBy(*by, "_bucket").orderBy(*order)
+        df = (
+            df.withColumn("_bucket", salt)
+            .withColumn("_sub_rank", F.row_number().over(sub))
+            .filter(F.col("_sub_rank") <= n)
+            .drop("_bucket", "_sub_rank")
+        )
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
@@ -81,6 +107,7 @@ def top_tracks(
     dim_partner: DataFrame,
     n: int,
     products_genre: DataFrame | None = None,
+    buckets: int = D.TOP_K_BUCKETS,
 ) -> DataFrame:
     """Top ``n`` ISRCs per market by summed streams of the day.
 
@@ -111,6 +138,8 @@ def top_tracks(
         [F.desc_nulls_last("total_streams"), F.asc_nulls_last("track_isrc")],
         n,
         "top_rank",
+        split_by=["track_isrc"],
+        buckets=buckets,
     ).select(
         "market", "top_rank", "track_isrc", "_track_uri", "_track_artist", "_track_name",
         "_primary_genre", "total_streams",

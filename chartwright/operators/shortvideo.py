@@ -32,6 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chartwright import defaults as D
 from chartwright.functions.text import char_counts, cosine, squared_norm
 from chartwright.operators.charts import DateLike, on_day, top_n
 
@@ -47,6 +48,7 @@ def short_video_top(
     markets: Sequence[str],
     n: int,
     feed: str,
+    buckets: int = D.TOP_K_BUCKETS,
 ) -> DataFrame:
     """C11: top ``n`` ISRCs per market by summed creations on ``day``.
 
@@ -67,7 +69,8 @@ def short_video_top(
         )
     )
     return top_n(
-        per_isrc, ["market"], [F.desc_nulls_last("tt_creations"), F.asc_nulls_last("isrc_cd")], n, "tt_rank"
+        per_isrc, ["market"], [F.desc_nulls_last("tt_creations"), F.asc_nulls_last("isrc_cd")], n, "tt_rank",
+        split_by=["isrc_cd"], buckets=buckets,
     ).select(
         "market", F.lit(feed).alias("feed"), "tt_rank", "isrc_cd", "_artist_name_tt", "_track_name_tt",
         "tt_creations",

@@ -116,3 +116,18 @@ def test_watermark(spark):
     assert resolve_watermark(load_watermark(status, ["a", "b"], ["M1"]), ["M1"]) == {"M1": dt.date(2024, 1, 5)}
     with pytest.raises(WatermarkError):
         resolve_watermark(load_watermark(status, ["a", "b"], ["M3"]), ["M3"])  # no row at all
+
+
+def test_two_level_top_n_equals_one_level(spark):
+    from pyspark.sql import functions as F
+
+    # one hot market with most rows, ties on the value, NULL keys
+    rows = [("HOT", f"k{i % 997}" if i % 50 else None, i % 7) for i in range(3000)] + \
+           [("COLD", f"c{i}", i) for i in range(20)]
+    df = spark.createDataFrame(rows, "market string, key string, v int").groupBy("market", "key").agg(
+        F.sum("v").alias("v"))
+    order = [F.desc_nulls_last("v"), F.asc_nulls_last("key")]
+    for n in (1, 5, 40, 5000):
+        one = C.top_n(df, ["market"], order, n, "r").collect()
+        two = C.top_n(df, ["market"], order, n, "r", split_by=["key"], buckets=8).collect()
+        assert sorted(map(tuple, one), key=repr) == sorted(map(tuple, two), key=repr)
