@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartwright import defaults as D
-from chartwright.functions.text import char_counts, cosine, squared_norm
+from chartwright.functions.text import char_counts, cosine, let, squared_norm
 from chartwright.operators.charts import DateLike, on_day, top_n
 
 # Make the prefix a little longer than the exact bound so that pairs whose
@@ -114,10 +114,12 @@ def prefix_chars(vec: Column, order: Column, threshold: float) -> Column:
 
     Entries are sorted by global rank; entry i is kept while the squared
     mass from i to the end is at least ``t^2`` of the squared norm, which
-    keeps the first entry whose removal drops the rest below it.
+    keeps the first entry whose removal drops the rest below it.  The sorted
+    entries and the norm are bound once per row (``let``), not re-evaluated
+    inside the per-element lambda.
     """
     t = threshold - _PREFIX_SLACK
-    entries = F.array_sort(F.transform(
+    ranked = F.array_sort(F.transform(
         F.map_entries(vec),
         lambda e: F.struct(
             F.coalesce(F.try_element_at(order, e["key"]), F.lit(_UNRANKED)).alias("r"),
@@ -125,19 +127,26 @@ def prefix_chars(vec: Column, order: Column, threshold: float) -> Column:
             e["value"].cast("bigint").alias("c"),
         ),
     ))
-    norm2 = squared_norm(vec)
-    before = lambda i: F.aggregate(  # noqa: E731  squared mass of entries 0..i-1
-        F.slice(entries, 1, i), F.lit(0).cast("bigint"), lambda acc, x: acc + x["c"] * x["c"]
-    )
-    kept = F.filter(entries, lambda e, i: (norm2 - before(i)) >= F.lit(t * t) * norm2)
-    return F.transform(kept, lambda e: e["ch"])
+
+    def keep(entries: Column, norm2: Column) -> Column:
+        mass_before = lambda i: F.aggregate(  # noqa: E731  squared mass of entries 0..i-1
+            F.slice(entries, 1, i), F.lit(0).cast("bigint"), lambda acc, x: acc + x["c"] * x["c"]
+        )
+        kept = F.filter(entries, lambda e, i: (norm2 - mass_before(i)) >= F.lit(t * t) * norm2)
+        return F.transform(kept, lambda e: e["ch"])
+
+    return let(ranked, lambda entries: let(squared_norm(vec), lambda norm2: keep(entries, norm2)))
 
 
 def prefix_keys(name_v: Column, artist_v: Column, order: Column, t_name: float, t_artist: float) -> Column:
     """Every (name-prefix char, artist-prefix char) pair of one row."""
-    pn = prefix_chars(name_v, order, t_name)
-    pa = prefix_chars(artist_v, order, t_artist)
-    return F.flatten(F.transform(pn, lambda a: F.transform(pa, lambda b: F.struct(a.alias("n"), b.alias("a")))))
+    return let(
+        prefix_chars(artist_v, order, t_artist),
+        lambda pa: F.flatten(F.transform(
+            prefix_chars(name_v, order, t_name),
+            lambda a: F.transform(pa, lambda b: F.struct(a.alias("n"), b.alias("a"))),
+        )),
+    )
 
 
 def fuzzy_match_tracks(
