@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from chartwright.operators import charts as C  # noqa: E402
 from chartwright.operators import playlists as P  # noqa: E402
 from chartwright.plans.daily import ALL_MARKETS, FIXTURE_PARAMS, ChartJob  # noqa: E402
 from chartwright.plans.session import scratch_path, tune  # noqa: E402

@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle (sf0.001)."""
 
-import os
 
 import duckdb
 import pytest
