@@ -23,7 +23,7 @@ from chartwright.plans.session import scratch_path, tune  # noqa: E402
 from chartwright.sources import files as FS  # noqa: E402
 from chartwright.sources import playlist_store as PS  # noqa: E402
 from chartwright.sources.fixtures import staged_chart_inputs  # noqa: E402
-from chartwright.functions.text import artist_tokens, char_counts, cosine  # noqa: E402
+from chartwright.functions.text import artist_tokens, char_counts, cosine, squared_norm  # noqa: E402
 from chartwright.streaming.watermark import load_watermark  # noqa: E402
 from dataclasses import replace  # noqa: E402
 
@@ -122,11 +122,16 @@ def q_char_cosine(spark, sf_dir):
         F.col("p_partkey").alias("partner_info_key"), "p_brand"
     )
     rows = i.dim_partner.join(part, "partner_info_key")
-    name = char_counts("track_name")
-    return rows.select(
+    vectors = rows.select(
         "partner_info_key", "track_name", "track_artists", "p_brand",
-        cosine(name, char_counts("track_artists")).alias("sim_name_artist"),
-        cosine(name, char_counts("p_brand")).alias("sim_name_brand"),
+        char_counts("track_name").alias("v_name"),
+        char_counts("track_artists").alias("v_artist"),
+        char_counts("p_brand").alias("v_brand"),
+    ).select("*", squared_norm(F.col("v_name")).alias("n_name"))
+    return vectors.select(
+        "partner_info_key", "track_name", "track_artists", "p_brand",
+        cosine(F.col("v_name"), F.col("v_artist"), norm_a=F.col("n_name")).alias("sim_name_artist"),
+        cosine(F.col("v_name"), F.col("v_brand"), norm_a=F.col("n_name")).alias("sim_name_brand"),
     )
 
 
