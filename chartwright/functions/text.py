@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from chartwright import defaults as D
 
-NOT_WORD_OR_SPACE = r"(?U)[^\p{L}\p{N}_\s]"
-WHITESPACE_RUN = r"(?U)\s+"
+# Whitespace as Python's str.split() sees it: Unicode White_Space plus the
+# four information separators U+001C..U+001F.
+NOT_WORD_OR_SPACE = r"(?U)[^\p{L}\p{N}_\s\x{1C}-\x{1F}]"
+WHITESPACE_RUN = r"(?U)[\s\x{1C}-\x{1F}]+"
 ASCII_PUNCTUATION = r"\p{Punct}"
 ANY_CODE_POINT = r"(?s)."
 

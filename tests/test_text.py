@@ -91,3 +91,9 @@ def test_cosine_matches_python_and_is_symmetric(spark, pairs):
 @given(st.lists(st.one_of(st.none(), text), min_size=1, max_size=15))
 def test_tokens_match_python(spark, artists):
     assert _tokens(spark, artists) == [pyref.tokens(a) for a in artists]
+
+
+def test_unicode_whitespace_like_python(spark):
+    odd = ["a\u00a0b", "a\x1cb\x1fc", "a\u2003b\u3000c", "x\u0085y", "tab\tand\nnew\x0bz"]
+    assert _tokens(spark, odd) == [pyref.tokens(a) for a in odd]
+    assert _tokens(spark, ["a\x1cb"]) == [{"a", "b"}]
