@@ -84,11 +84,12 @@ def on_day(df: DataFrame, day: "DateLike | DataFrame", markets: Sequence[str], m
 def daily_listens(streams: DataFrame, day: "DateLike | DataFrame", markets: Sequence[str]) -> DataFrame:
     """Streams of one day per (market, track key, consumer, consumer country).
 
-    The one read of the day's fact rows shared by ``top_tracks`` and
-    ``segment_streams``: both only need sums, and sums distribute over the
-    joins that follow, so collapsing source types and repeated plays here
-    changes no result.  Partial aggregation runs in the map tasks, so a hot
-    track or consumer costs one row per task.
+    Shared by ``top_tracks`` and ``segment_streams`` (in one plan Spark
+    reuses its exchange, so the day's fact rows are read once): both only
+    need sums, and sums distribute over the joins that follow, so collapsing
+    source types and repeated plays here changes no result.  Partial
+    aggregation runs in the map tasks, so a hot track or consumer costs one
+    row per task.
     """
     return (
         on_day(streams, day, markets, "country_code_stream")
