@@ -173,12 +173,12 @@ def fuzzy_match_tracks(
     left = chart_rows.select(
         "market", "chart_rank", "track_isrc", "_track_uri", "_track_artist", "_track_name",
         char_counts("_track_name").alias("l_name_v"), char_counts("_track_artist").alias("l_artist_v"),
-    )
+    ).select("*", *[squared_norm(F.col(c)).alias(f"{c}_n2") for c in ("l_name_v", "l_artist_v")])
     right = short_video.select(
         F.col("market").alias("r_market"), F.col("feed").alias("tt_feed"), "tt_rank", "isrc_cd",
         "_artist_name_tt", "_track_name_tt", "tt_creations",
         char_counts("_track_name_tt").alias("r_name_v"), char_counts("_artist_name_tt").alias("r_artist_v"),
-    )
+    ).select("*", *[squared_norm(F.col(c)).alias(f"{c}_n2") for c in ("r_name_v", "r_artist_v")])
     order = character_order(
         [F.col("l_name_v"), F.col("l_artist_v"), F.col("r_name_v"), F.col("r_artist_v")],
         [left, left, right, right],
@@ -194,8 +194,9 @@ def fuzzy_match_tracks(
     pairs = by_text.unionByName(by_isrc).dropDuplicates(["market", "chart_rank", "tt_feed", "tt_rank"])
     scored = pairs.select(
         "*",
-        cosine(F.col("l_name_v"), F.col("r_name_v")).alias("sim_name"),
-        cosine(F.col("l_artist_v"), F.col("r_artist_v")).alias("sim_artist"),
+        cosine(F.col("l_name_v"), F.col("r_name_v"), F.col("l_name_v_n2"), F.col("r_name_v_n2")).alias("sim_name"),
+        cosine(F.col("l_artist_v"), F.col("r_artist_v"), F.col("l_artist_v_n2"), F.col("r_artist_v_n2"))
+        .alias("sim_artist"),
     )
     keep = (
         (F.col("sim_name") >= name_threshold) & (F.col("sim_artist") >= artist_threshold)
