@@ -83,3 +83,21 @@ def test_items_from_json(spark):
     df = spark.createDataFrame([("M", "top", body)], "market string, playlist string, body string")
     got = [(r["position"], r["track_uri"]) for r in PS.playlist_items_from_json(df).orderBy("position").collect()]
     assert got == [(1, "u:1"), (2, "u:2")]
+
+
+def test_run_daily_fails_for_market_without_watermark(spark, tmp_scratch):
+    from dataclasses import replace
+
+    import pytest
+
+    import __spark_entry__ as E
+    from chartwright.plans.daily import FIXTURE_PARAMS, ChartJob, run_daily
+    from chartwright.streaming.watermark import WatermarkError
+    from conftest import SF_SMALL
+
+    params = replace(FIXTURE_PARAMS, markets=("EUROPE", "NOWHERE"), day=None, short_video_day=None)
+    out = tmp_scratch("daily")
+    with pytest.raises(WatermarkError):
+        run_daily(ChartJob(E.inputs(spark, SF_SMALL), params), out)
+    import os
+    assert not os.path.exists(out.split(":", 1)[-1] + "/playlists")   # nothing published
