@@ -29,6 +29,14 @@ from dataclasses import replace  # noqa: E402
 
 import oracle_queries  # noqa: E402
 
+try:  # the training-data operators are a part that can be left out
+    import corpus_pipeline  # noqa: E402
+    from chartwright.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "chartwright.llm", "chartwright.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 LIST_COLS = ["market", "playlist", "position", "chart_rank", "track_isrc", "_track_uri", "_track_artist"]
 
@@ -279,9 +287,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bulk_load_csv": q_bulk_load_csv,
         "file_inventory": q_file_inventory,
     })
+    if llm_queries is not None:
+        q.update(llm_queries.queries())
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     sql = oracle_queries.oracle_sql()
+    if llm_queries is not None:
+        sql = sql | llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {k: v for k, v in sql.items() if k in queries()}

@@ -7,7 +7,10 @@ results.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -46,23 +49,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return tune(spark)
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged tables.
+class ScratchError(RuntimeError):
+    """No folder that driver and executors share is known."""
+
+
+_local_scratch: dict[str, str] = {}
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem).  Only when it is unset, as in tests, a local folder is made
-    and registered.
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Shared folder for staged tables.
+
+    This is whatever ``spark.checkpoint.dir`` names (a file system that the
+    driver and all executors reach), or the checkpoint folder set on the
+    context.  Where neither is set, a session with a ``local`` master (driver
+    and executors are one process, as in tests) gets a folder of its own for
+    its lifetime; any other session is refused, because executors would write
+    to their own disks.
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if path:
+        return path
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ScratchError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _local_scratch:
         path = tempfile.mkdtemp(prefix="chartwright-")
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir() or path
-    elif sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir() or path
-    return path
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        _local_scratch[sc.applicationId] = path
+    return _local_scratch[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
