@@ -38,8 +38,8 @@ from chartwright.llm.words import (
     Words,
     gram_hashes,
     inside,
+    join_codes,
     mix,
-    ragged,
     slices,
     split_words,
 )
@@ -156,12 +156,7 @@ class Fertility:
         for word, ids in fresh.items():
             if len(word) <= CACHE_WORD_BYTES:
                 known.put(word, ids)
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        flat = np.frombuffer(b"".join(coded), np.int32)
-        begin = np.cumsum(lengths) - lengths
-        ids = flat[ragged(begin[words.codes], lengths[words.codes])]
-        ends = np.concatenate(([0], np.cumsum(lengths[words.codes])))
-        return ids, ends[words.starts]
+        return join_codes(words, coded, np.dtype(np.int32))
 
 
 def verdict(rules: FertilityRules, kind: str, n_words: int, n_symbols: int, n_tokens: int,

@@ -11,21 +11,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartwright.llm import fertility
+from chartwright.llm import bpe, fertility
 
 PIECES = "piece_bpe_32k.model"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE)).drop("ids")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_bpe": op1_bpe,
         "op10_quality_rules": op10_quality_rules,
     }
 

@@ -155,3 +155,16 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(ends) or not ends[-1]:
         return np.zeros(0, np.int64)
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def join_codes(words: Words, coded: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's words replaced by their codes (``coded``: one run for each entry of the vocabulary).
+
+    All texts' codes one after another, and where each text's begin.
+    """
+    lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // kind.itemsize
+    flat = np.frombuffer(b"".join(coded), kind)
+    begin = np.cumsum(lengths) - lengths
+    codes = flat[ragged(begin[words.codes], lengths[words.codes])]
+    ends = np.concatenate(([0], np.cumsum(lengths[words.codes])))
+    return codes, ends[words.starts]
