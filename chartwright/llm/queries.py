@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chartwright.llm import bpe, fertility
+from chartwright.llm import bpe, fertility, langid, licenses
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
@@ -25,6 +26,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE)).drop("ids")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_blocks", F.size("blocks").cast("long")).drop("blocks")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = langid.train(langid.sample(docs, ~held_out))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -32,6 +45,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_license_scan": op2_license_scan,
+        "op7_language_id": op7_language_id,
         "op10_quality_rules": op10_quality_rules,
     }
 

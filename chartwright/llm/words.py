@@ -31,6 +31,11 @@ CACHE_WORD_BYTES = 64
 SLICE_BYTES = 6 << 20
 
 
+def plain_words(text: bytes) -> list[bytes]:
+    """Words of one text under PLAIN."""
+    return text.translate(PLAIN).split()
+
+
 class WordCache(dict):
     """``cache[word]`` is ``make(word)``, kept for the next time.
 
@@ -94,6 +99,10 @@ class Words:
         found = np.fromiter(map(xxhash.xxh3_64_intdigest, self.vocabulary), np.uint64, len(self.vocabulary))
         return found[self.codes]
 
+    def code(self, word: bytes) -> int:
+        """The word's code, or -1."""
+        return pc.index(self.strings, pa.scalar(word.decode(), pa.string())).as_py()
+
     def counts(self) -> np.ndarray:
         return np.diff(self.starts)
 
