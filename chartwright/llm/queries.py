@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwright.llm import bpe, fertility, langid, licenses
+from chartwright.llm import bpe, decontaminate, fertility, langid, licenses, oracles
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
@@ -31,6 +31,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_blocks", F.size("blocks").cast("long")).drop("blocks")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -46,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op2_license_scan": op2_license_scan,
+        "op4_decontamination": op4_decontamination,
         "op7_language_id": op7_language_id,
         "op10_quality_rules": op10_quality_rules,
     }
@@ -53,4 +58,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the operators that SQL can express."""
-    return {}
+    return dict(oracles.SQL)
