@@ -53,9 +53,26 @@ def upto(n: Column) -> Column:
     return F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
 
 
+def _joined(values: Column, step: int, use: Callable[[Column, Column], Column]) -> Column:
+    """``use(values[i], values[i + step])`` wherever both are there."""
+    return bind(values, lambda x: F.zip_with(
+        F.slice(x, 1, F.greatest(F.size(x) - step, F.lit(0))), F.slice(x, 1 + step, F.greatest(F.size(x) - step, F.lit(0))), use))
+
+
+def _least(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
 def run_hashes(hashes: Column, length: int) -> Column:
-    """Hash of every run of ``length`` words."""
-    return F.transform(upto(F.size(hashes) - (length - 1)), lambda i: F.xxhash64(F.slice(hashes, i, length)))
+    """Hash of every run of ``length`` words, put together from runs of half the length."""
+    if length == 1:
+        return hashes
+    half = length // 2
+    if length % 2 == 0:
+        return _joined(run_hashes(hashes, half), half, lambda a, b: F.xxhash64(a, b))
+    return bind(hashes, lambda h: F.zip_with(
+        run_hashes(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), length - 1),
+        F.slice(h, length, F.greatest(F.size(h) - length + 1, F.lit(0))), lambda a, b: F.xxhash64(a, b)))
 
 
 def _marks(length: int, places: Column, runs: Column) -> Column:
@@ -68,16 +85,14 @@ def _marks(length: int, places: Column, runs: Column) -> Column:
 
 def _winnowed(hashes: Column) -> Column:
     """Fingerprints of all windows."""
-    span = WINDOW - GRAM + 1
 
     def chosen(runs: Column) -> Column:
         # the hash's upper 32 bits, then the place such that the last one is least
         keys = F.transform(runs, lambda g, i: F.shiftleft(F.shiftright(g, 31), 31) + (F.lit(_PLACE) - i))
-        places = bind(keys, lambda v: F.array_distinct(F.transform(
-            upto(F.size(v) - (span - 1)),
-            lambda s: F.lit(_PLACE + 1) - F.array_min(F.slice(v, s, span)).bitwiseAND(F.lit(_PLACE)),
-        )))
-        return _marks(WINDOW, places, runs)
+        two = _joined(keys, 1, _least)
+        six = bind(two, lambda t: _joined(_joined(t, 2, _least), 2, _least))  # least of 6 = WINDOW - GRAM + 1
+        places = F.transform(F.array_distinct(six), lambda k: F.lit(_PLACE + 1) - k.bitwiseAND(F.lit(_PLACE)))
+        return bind(places, lambda p: _marks(WINDOW, p, runs))
 
     return bind(run_hashes(hashes, GRAM), chosen)
 
