@@ -27,6 +27,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages WHERE page_id IS NOT NULL),
+s AS (SELECT page_id, h, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM s
+"""
+
 SQL = {
     "op4_decontamination": OP4,
+    "op9_warc": OP9,
 }

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwright.llm import bpe, decontaminate, fertility, langid, licenses, oracles
+from chartwright.llm import bpe, decontaminate, fertility, langid, licenses, oracles, warc
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
@@ -42,6 +42,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_license_scan": op2_license_scan,
         "op4_decontamination": op4_decontamination,
         "op7_language_id": op7_language_id,
+        "op9_warc": op9_warc,
         "op10_quality_rules": op10_quality_rules,
     }
 
