@@ -27,6 +27,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
+# all pairs that share a shingle, compared exactly; components by repeated least neighbours
+OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+  HAVING 100 * count(*) >= 75 * ((SELECT n FROM n WHERE doc_id = a.doc_id) + (SELECT n FROM n WHERE doc_id = b.doc_id) - count(*))),
+reach(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.doc_id WHERE r.c < l.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY 1) r USING (doc_id)
+"""
+
 OP9 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages WHERE page_id IS NOT NULL),
 s AS (SELECT page_id, h, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, min(page_id) OVER (PARTITION BY h) AS first FROM p)
@@ -38,5 +56,6 @@ FROM s
 
 SQL = {
     "op4_decontamination": OP4,
+    "op6_jaccard_join": OP6,
     "op9_warc": OP9,
 }

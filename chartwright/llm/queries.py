@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwright.llm import bpe, decontaminate, extract, fertility, langid, licenses, oracles, warc
+from chartwright.llm import bpe, decontaminate, extract, fertility, jaccard, langid, licenses, oracles, warc
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
@@ -39,6 +39,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("class_id")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -60,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_license_scan": op2_license_scan,
         "op4_decontamination": op4_decontamination,
         "op5_html_extraction": op5_html_extraction,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_language_id": op7_language_id,
         "op9_warc": op9_warc,
         "op10_quality_rules": op10_quality_rules,
