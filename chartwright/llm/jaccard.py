@@ -45,6 +45,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from fractions import Fraction
+from functools import lru_cache
 from math import ceil, floor, log
 
 import numpy as np
@@ -61,8 +62,8 @@ SHINGLE = 5
 THRESHOLD = Fraction(3, 4)
 #: An element in one of so many documents is frequent; counted with a quarter of that as error.
 FREQUENT_ONE_IN = 500
-#: Asked keys that are handed to the tasks (8 bytes each) rather than joined.
-MAX_KEYS = 4_000_000
+#: Asked keys and elements that are handed to the tasks (8 bytes each) rather than joined.
+MAX_KEYS = 6_000_000
 #: Runs up to this length give all pairs at once.
 SHORT_RUN = 8
 _U = np.uint64
@@ -95,22 +96,27 @@ class Plan:
         self.t = Fraction(threshold)
         self.ratio = float(1 / self.t) ** 2
 
+    @lru_cache(1 << 14)  # noqa: B019
     def differences(self, n: int) -> int:
         """Most elements by which a set of n and a partner that is no smaller can differ."""
         return floor(n * (1 - self.t) / self.t)
 
+    @lru_cache(1 << 14)  # noqa: B019
     def band(self, n: int) -> int:
         return floor(log(n) / log(self.ratio) + 1e-9)
 
+    @lru_cache(1 << 14)  # noqa: B019
     def lowest(self, n: int) -> int:
         """The band of the smallest partner of a set of n."""
         return self.band(max(1, ceil(n * self.t)))
 
+    @lru_cache(1 << 14)  # noqa: B019
     def fine(self, band: int) -> int:
         """Segments of a band for exact subsets: the largest set fills more than H of them."""
         top = self.ratio ** (band + 1)
         return ceil(1.4 * top * float((1 - self.t) / self.t)) + 1
 
+    @lru_cache(1 << 14)  # noqa: B019
     def coarse(self, band: int) -> int:
         """Segments of a band for subsets and their one-deletion neighbourhoods."""
         return max(1, ceil(self.ratio**band / 3))
@@ -122,7 +128,7 @@ def segments(s: np.ndarray, m: int, salt: int) -> tuple[np.ndarray, np.ndarray,
     The hash of a subset is the sum of its elements' hashes, so deletions are differences.
     """
     number = (mix(s ^ _U(salt)) >> _U(32)) * _U(m) >> _U(32)
-    order = np.argsort(number, kind="stable")
+    order = np.argsort(number.astype(np.uint16) if m <= 1 << 16 else number, kind="stable")
     n = number[order]
     cut = np.flatnonzero(np.concatenate(([True], n[1:] != n[:-1])))
     sums = np.add.reduceat(mix(s[order]), cut)
@@ -159,13 +165,13 @@ def coarse_keys(s: np.ndarray, plan: Plan, band: int) -> tuple[np.ndarray, np.nd
     return _keys(sums, number, band, 1), deleted, which[many], sizes
 
 
-def asked_keys(s: np.ndarray, frequent: np.ndarray, plan: Plan) -> np.ndarray | None:
-    """What x asks for under coarse segments; None if its exact subsets are enough.
+def asked_keys(s: np.ndarray, frequent: np.ndarray, plan: Plan, n_fine: int) -> np.ndarray | None:
+    """What x asks for under coarse segments; None if its ``n_fine`` exact subsets are enough.
 
     Cheapest first: segments with the most infrequent elements.
     """
     band, h = plan.band(len(s)), plan.differences(len(s))
-    if len(fine_keys(s, frequent, plan, band)) > h:
+    if n_fine > h:
         return None
     subset, deleted, of, sizes = coarse_keys(s, plan, band)
     rare = np.zeros(len(sizes), np.int64)
@@ -340,32 +346,44 @@ def describe(docs: DataFrame, k: int, one_in: int) -> DataFrame:
 
 
 def _asked(docs: DataFrame, k: int, plan: Plan, frequent) -> DataFrame:
-    """Rows (key) that sets ask for beyond their exact subsets."""
+    """Rows (element, value): keys that sets ask for beyond their exact subsets, and those sets' elements."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches):
-            found = [asked_keys(s, frequent.value, plan) for s in shingle_sets(texts, k) if len(s)]
-            found = [x for x in found if x is not None]
-            if found:
-                yield pa.RecordBatch.from_arrays([_long(np.concatenate(found))], ["key"])
+            for s in shingle_sets(texts, k):
+                if not len(s):
+                    continue
+                keys = asked_keys(s, frequent.value, plan, len(fine_keys(s, frequent.value, plan, plan.band(len(s)))))
+                if keys is not None:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.arange(len(keys) + len(s)) >= len(keys)), _long(np.concatenate((keys, s)))], ["element", "value"])
 
-    return docs.mapInArrow(task, "key long")
+    return docs.mapInArrow(task, "element boolean, value long")
 
 
 def _filed(docs: DataFrame, k: int, plan: Plan, frequent, wanted) -> DataFrame:
-    """Rows (key, size, id, asks) of every set; ``wanted``: the sorted asked keys, or None for all."""
+    """Rows (key, size, id, asks) of every set.
+
+    ``wanted``: the asked keys and the asking sets' elements, sorted, or None
+    for no filter.  A partner has the share t of its own elements in common with
+    the asking set, so a set with fewer among all of them files nothing.
+    """
 
     def rows_of(s: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         n = len(s)
-        band, ask = plan.band(n), asked_keys(s, frequent.value, plan)
-        for b in range(plan.lowest(n), band + 1):
-            fine = fine_keys(s, frequent.value, plan, b)
-            yield fine, np.full(len(fine), ask is None and b == band)
-            if wanted is not None and not len(wanted.value):
-                continue
+        band, lowest = plan.band(n), plan.lowest(n)
+        fine = {b: fine_keys(s, frequent.value, plan, b) for b in range(lowest, band + 1)}
+        ask = asked_keys(s, frequent.value, plan, len(fine[band]))
+        for b, keys in fine.items():
+            yield keys, np.full(len(keys), ask is None and b == band)
+        if wanted is not None:
+            asked, elements = wanted.value
+            if not len(asked) or int(_among(s, elements).sum()) * plan.t.denominator < n * plan.t.numerator:
+                return
+        for b in fine:
             filed = filed_keys(s, plan, b)
             if wanted is not None:
-                filed = filed[_among(filed, wanted.value)]
+                filed = filed[_among(filed, asked)]
             filed = np.unique(filed)
             yield filed, np.isin(filed, ask) if ask is not None and b == band else np.zeros(len(filed), bool)
 
@@ -431,8 +449,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     asked = materialize(_asked(alone, shingle, plan, frequent).distinct(), "asked")
     wanted = None
     if asked.count() <= max_keys:
-        keys = np.sort(asked.toArrow().column(0).to_numpy().view(np.uint64))
-        wanted = spark.sparkContext.broadcast(keys)
+        wanted = spark.sparkContext.broadcast(tuple(
+            np.sort(asked.filter(F.col("element") == of).select("value").toArrow().column(0).to_numpy().view(np.uint64)) for of in (False, True)))
     rows = _filed(alone, shingle, plan, frequent, wanted)
     dealt = rows.repartition("key").sortWithinPartitions("key", "size", "id")
     found = materialize(dealt.mapInArrow(_stream_pairs(plan.t), "key long, a long, b long"), "found")
