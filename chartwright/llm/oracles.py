@@ -45,6 +45,25 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY 1) r USING (doc_id)
 """
 
+OP8 = """
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, role IS NOT NULL AS named, coalesce(text, '') AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+m AS (
+  SELECT r.*, participant, CAST(coalesce(floor(turn / 64), 0) AS BIGINT) AS chunk_no, named AND speaker = participant AS own,
+    CASE WHEN named AND speaker = participant THEN '<|im_start|>assistant' WHEN named AND speaker = 'system' THEN '<|im_start|>system'
+         ELSE '<|im_start|>user name=' || speaker END || chr(10) || words || '<|im_end|>' || chr(10) AS piece
+  FROM r JOIN (SELECT DISTINCT conv_id, speaker AS participant FROM r WHERE named AND speaker <> 'system') USING (conv_id)),
+p AS (
+  SELECT *, sum(length(piece)) OVER (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speaker, words, piece
+                                     ROWS UNBOUNDED PRECEDING) AS upto FROM m)
+SELECT conv_id, participant, chunk_no, count(*) AS n_turns, CAST(min(upto - length(piece)) AS BIGINT) AS start,
+  sha256(string_agg(piece, '' ORDER BY upto)) AS text_sha256,
+  coalesce(string_agg(CAST(CAST(upto - 11 - length(words) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(upto - 11 AS BIGINT) AS VARCHAR), ','
+    ORDER BY upto) FILTER (WHERE own), '') AS mask
+FROM p GROUP BY 1, 2, 3
+"""
+
 OP9 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages WHERE page_id IS NOT NULL),
 s AS (SELECT page_id, h, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, min(page_id) OVER (PARTITION BY h) AS first FROM p)
@@ -57,5 +76,6 @@ FROM s
 SQL = {
     "op4_decontamination": OP4,
     "op6_jaccard_join": OP6,
+    "op8_chat_formatting": OP8,
     "op9_warc": OP9,
 }

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwright.llm import bpe, decontaminate, extract, fertility, jaccard, langid, licenses, oracles, warc
+from chartwright.llm import bpe, chat, decontaminate, extract, fertility, jaccard, langid, licenses, oracles, passages, warc
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
@@ -31,6 +31,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_blocks", F.size("blocks").cast("long")).drop("blocks")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.passages(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("target").alias("source_doc_id"), *found.columns[2:])
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +55,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chat.rotate(table(spark, sf_dir, "conversations"))
+    mask = F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select(
+        "conv_id", "participant", "chunk_no", "n_turns", "start", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+        F.array_join(mask, ",").alias("mask"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -62,10 +75,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op2_license_scan": op2_license_scan,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_decontamination": op4_decontamination,
         "op5_html_extraction": op5_html_extraction,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_language_id": op7_language_id,
+        "op8_chat_formatting": op8_chat_formatting,
         "op9_warc": op9_warc,
         "op10_quality_rules": op10_quality_rules,
     }
