@@ -99,10 +99,11 @@ def _winnowed(hashes: Column) -> Column:
 
 def _fingerprints(hashes: Column, lengths: list[int]) -> Column:
     """Fingerprints of the windows and all runs of the short lengths."""
-    parts = [_winnowed(hashes)]
-    for n in lengths:
-        parts.append(bind(run_hashes(hashes, n), lambda runs, n=n: _marks(n, upto(F.size(runs)), runs)))
-    return F.concat(*parts)
+
+    def short(n: int) -> Column:
+        return bind(run_hashes(hashes, n), lambda runs: _marks(n, upto(F.size(runs)), runs))
+
+    return F.concat(_winnowed(hashes), *map(short, lengths))
 
 
 def _hashes(words: Column) -> Column:
@@ -122,8 +123,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     )
     short = F.size("item_words") < WINDOW
     lengths = sorted(r[0] for r in items.filter(short).select(F.size("item_words")).distinct().collect())
-    whole = F.transform(F.array(_hashes(F.col("item_words"))), lambda h: F.struct(
-        F.size("item_words").alias("length"), F.lit(0).alias("place"), F.xxhash64(h).alias("mark")))
+    runs = [F.when(F.size("item_words") == n, run_hashes(_hashes(F.col("item_words")), n)[0]) for n in lengths]
+    whole = F.array(F.struct(
+        F.size("item_words").alias("length"), F.lit(0).alias("place"), F.coalesce(*runs, F.lit(0).cast("long")).alias("mark")))
     marks = materialize(
         items.select("set", F.explode(F.when(short, whole).otherwise(bind(_hashes(F.col("item_words")), _winnowed))).alias("m"))
         .select("set", "m.length", "m.mark", F.col("m.place").alias("item_place")),
