@@ -83,7 +83,7 @@ def char_counts(text: Column | str) -> Column:
             distinct,
             lambda ch: F.struct(
                 ch.alias("key"),
-                (F.char_length(s) - F.char_length(F.replace(s, ch, F.lit("")))).alias("value"),
+                (F.char_length(s) - F.char_length(F.replace(s, ch, F.lit("")))).cast("bigint").alias("value"),
             ),
         ))
 

@@ -12,9 +12,8 @@ Scale notes, for a fact of billions of rows per day:
 * Facts are summed per join key *before* the dimension join (partial
   aggregation in the map tasks), so a hot track or consumer costs one row per
   map task, not one row per stream.
-* Only outputs bounded by a top-k limit (``n`` rows per market) are broadcast
-  explicitly; every other join is sized by Spark / AQE at run time, with a
-  sort-merge join as the fallback.
+* Only tables of one row per market are broadcast explicitly; every other join
+  is sized by Spark / AQE at run time, with a sort-merge join as the fallback.
 """
 
 from __future__ import annotations
@@ -81,21 +80,15 @@ def on_day(df: DataFrame, day: "DateLike | DataFrame", markets: Sequence[str], m
     return rows.filter(F.col("report_date") == _date(day))
 
 
-def daily_listens(streams: DataFrame, day: "DateLike | DataFrame", markets: Sequence[str]) -> DataFrame:
-    """Streams of one day per (market, track key, consumer, consumer country).
+def track_streams(streams: DataFrame, day: "DateLike | DataFrame", markets: Sequence[str]) -> DataFrame:
+    """Streams of one day per (market, track key).
 
-    Shared by ``top_tracks`` and ``segment_streams`` (in one plan Spark
-    reuses its exchange, so the day's fact rows are read once): both only
-    need sums, and sums distribute over the joins that follow, so collapsing
-    source types and repeated plays here changes no result.  Partial
-    aggregation runs in the map tasks, so a hot track or consumer costs one
-    row per task.
+    Summed in the map tasks before the shuffle, so a hot track costs one row
+    per task; consumers do not reach this shuffle.
     """
     return (
         on_day(streams, day, markets, "country_code_stream")
-        .groupBy(
-            F.col("country_code_stream").alias("market"), "partner_info_key", "consumer_key", "country_code"
-        )
+        .groupBy(F.col("country_code_stream").alias("market"), "partner_info_key")
         .agg(F.sum("num_streams").alias("streams"))
     )
 
@@ -104,7 +97,7 @@ def daily_listens(streams: DataFrame, day: "DateLike | DataFrame", markets: Sequ
 
 
 def top_tracks(
-    listens: DataFrame,
+    per_key: DataFrame,
     dim_partner: DataFrame,
     n: int,
     products_genre: DataFrame | None = None,
@@ -112,28 +105,19 @@ def top_tracks(
 ) -> DataFrame:
     """Top ``n`` ISRCs per market by summed streams of the day.
 
-    ``listens`` is the output of ``daily_listens``.
+    ``per_key`` is the output of ``track_streams``.
     With ``products_genre`` (feed SME) the genre view is joined *before* the
     sum, so a product with several genre rows counts its streams once per
-    genre row (J2).  Attributes are independent ``min``s per column (A2).
-    Ties are broken by ISRC (ascending), NULL totals rank last.
+    genre row (J2).  Ties are broken by ISRC (ascending), NULL totals rank last.
+
+    Only numbers are summed and cut; the attributes, independent ``min``s per
+    column (A2), are then taken for the listed ISRCs alone.
     """
-    per_key = listens.groupBy("market", "partner_info_key").agg(F.sum("streams").alias("streams"))
-    rows = per_key.join(dim_partner, "partner_info_key")
-    attrs = [
-        F.min("track_uri").alias("_track_uri"),
-        F.min("track_artists").alias("_track_artist"),
-        F.min("track_name").alias("_track_name"),
-    ]
+    rows = per_key.join(dim_partner.select("partner_info_key", "product_key", "track_isrc"), "partner_info_key")
     if products_genre is not None:
-        rows = rows.join(products_genre, "product_key")
-        attrs.append(F.min("primary_genre").alias("_primary_genre"))
-    else:
-        attrs.append(F.lit(None).cast("string").alias("_primary_genre"))
-    per_isrc = rows.groupBy("market", "track_isrc").agg(
-        *attrs, F.sum("streams").alias("total_streams")
-    )
-    return top_n(
+        rows = rows.join(products_genre.select("product_key"), "product_key")
+    per_isrc = rows.groupBy("market", "track_isrc").agg(F.sum("streams").alias("total_streams"))
+    top = top_n(
         per_isrc,
         ["market"],
         [F.desc_nulls_last("total_streams"), F.asc_nulls_last("track_isrc")],
@@ -141,6 +125,25 @@ def top_tracks(
         "top_rank",
         split_by=["track_isrc"],
         buckets=buckets,
+    )
+    attrs = [
+        F.min("track_uri").alias("_track_uri"),
+        F.min("track_artists").alias("_track_artist"),
+        F.min("track_name").alias("_track_name"),
+    ]
+    heard = (
+        dim_partner.withColumnRenamed("track_isrc", "_isrc")
+        .join(top.select("market", "track_isrc"), F.col("_isrc").eqNullSafe(F.col("track_isrc")))
+        .join(per_key.select("market", "partner_info_key"), ["market", "partner_info_key"], "left_semi")
+    )
+    if products_genre is not None:
+        heard = heard.join(products_genre, "product_key")
+        attrs.append(F.min("primary_genre").alias("_primary_genre"))
+    else:
+        attrs.append(F.min(F.lit(None).cast("string")).alias("_primary_genre"))
+    described = heard.groupBy(F.col("market").alias("_market"), F.col("_isrc")).agg(*attrs)
+    return top.join(
+        described, (F.col("market") == F.col("_market")) & F.col("track_isrc").eqNullSafe(F.col("_isrc"))
     ).select(
         "market", "top_rank", "track_isrc", "_track_uri", "_track_artist", "_track_name",
         "_primary_genre", "total_streams",
@@ -167,7 +170,9 @@ def with_release_genre(top: DataFrame, genres: DataFrame) -> DataFrame:
 
 
 def segment_streams(
-    listens: DataFrame,
+    streams: DataFrame,
+    day: "DateLike | DataFrame",
+    markets: Sequence[str],
     dim_partner: DataFrame,
     top: DataFrame,
     consumer_segments: DataFrame,
@@ -175,19 +180,23 @@ def segment_streams(
     """C4: streams per (market, ISRC, listener segment) for the top ISRCs.
 
     Consumers without a segment row form the NULL segment; a consumer with
-    several segment rows counts in each (J4).  The fact is first reduced to
-    the top ISRCs (the top list is bounded by ``n`` per market, so it is
-    broadcast) and summed per consumer and ISRC, which bounds a hot consumer
-    to one row per top track before the segment join shuffles on the
-    consumer key.
+    several segment rows counts in each (J4).  The day's facts are joined with
+    the top list's track keys (at most ``n`` ISRCs per market; the engine picks
+    the join from its size) before anything is shuffled by consumer, and summed
+    per consumer and ISRC, which bounds a hot consumer to one row per top track
+    and task.
     """
-    top_isrcs = F.broadcast(top.select("track_isrc").distinct())
-    dim_top = dim_partner.select("partner_info_key", "track_isrc").join(top_isrcs, "track_isrc")
+    keys = (
+        dim_partner.select("partner_info_key", "track_isrc")
+        .join(top.select("market", "track_isrc"), "track_isrc")
+        .select("market", "partner_info_key", "track_isrc")
+    )
     per_consumer = (
-        listens.join(dim_top, "partner_info_key")
-        .join(F.broadcast(top.select("market", "track_isrc")), ["market", "track_isrc"])
+        on_day(streams, day, markets, "country_code_stream")
+        .select(F.col("country_code_stream").alias("market"), "partner_info_key", "consumer_key", "country_code", "num_streams")
+        .join(keys, ["market", "partner_info_key"])
         .groupBy("market", "track_isrc", "consumer_key", "country_code")
-        .agg(F.sum("streams").alias("streams"))
+        .agg(F.sum("num_streams").alias("streams"))
     )
     per_segment = (
         per_consumer.join(consumer_segments, ["consumer_key", "country_code"], "left")
@@ -198,7 +207,7 @@ def segment_streams(
         "market", "track_isrc", "_track_uri", "_track_artist", "_track_name", "_primary_genre",
         "total_streams",
     )
-    return per_segment.join(F.broadcast(attrs), ["market", "track_isrc"]).select(
+    return per_segment.join(attrs, ["market", "track_isrc"]).select(
         "market", "track_isrc", "segment_name", "_track_uri", "_track_artist", "_track_name",
         "_primary_genre", "segment_streams", "total_streams",
     )
@@ -211,9 +220,13 @@ def best_cover(
     home_market: str = D.HOME_MARKET,
     sources: Sequence[int] = D.COVER_SOURCES,
     days: int = D.COVER_DAYS,
+    isrcs: DataFrame | None = None,
 ) -> DataFrame:
     """Per ISRC the URI with the most streams in the home market over the
-    last ``days`` days before ``run_date``, from the given source types.
+    last ``days`` days up to ``run_date``, from the given source types.
+
+    ``isrcs`` (``track_isrc``; a feed's top list) restricts the count to the
+    track keys that can be used.
 
     Order as in the original ``ROW_NUMBER() ... ORDER BY sum DESC``: a NULL
     sum ranks first; ties go to the smallest URI.
@@ -222,13 +235,16 @@ def best_cover(
         streams.filter(
             (F.col("country_code") == home_market)
             & F.col("source_type_key").isin(list(sources))
-            & (F.col("report_date") >= F.date_sub(_date(run_date), days))
+            & F.col("report_date").between(F.date_sub(_date(run_date), days), _date(run_date))
         )
         .groupBy("partner_info_key")
         .agg(F.sum("num_streams").alias("streams"))
     )
+    dim = dim_partner.select("partner_info_key", "track_isrc", "track_uri")
+    if isrcs is not None:
+        dim = dim.join(isrcs.select("track_isrc").distinct(), "track_isrc", "left_semi")
     per_uri = (
-        per_key.join(dim_partner.select("partner_info_key", "track_isrc", "track_uri"), "partner_info_key")
+        per_key.join(dim, "partner_info_key")
         .groupBy("track_isrc", "track_uri")
         .agg(F.sum("streams").alias("cover_streams"))
     )
@@ -281,12 +297,12 @@ def earliest_release(
 ) -> DataFrame:
     """Earliest release date per ISRC over three catalogues.
 
-    ``isrcs`` (a chart's ISRCs, bounded by the top-k limits) is broadcast
-    and semi-joined into each catalogue before its lookup join, so only the
-    chart's catalogue rows reach the shuffle.  The minimum of the three
+    ``isrcs`` (a chart's ISRCs, bounded by the top-k limits) is semi-joined
+    into each catalogue before its lookup join, so only the chart's catalogue
+    rows reach that join.  The minimum of the three
     per-source minima is one ``min`` over their union.
     """
-    keys = F.broadcast(isrcs.select("track_isrc").distinct())
+    keys = isrcs.select("track_isrc").distinct()
     albums = (
         catalog_tracks.join(keys, catalog_tracks.isrc == keys.track_isrc, "left_semi")
         .join(catalog_albums, "album_id")

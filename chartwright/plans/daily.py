@@ -131,25 +131,31 @@ class ChartJob:
 
     # --- C2..C6 -----------------------------------------------------------
     @cached_property
-    def _listens(self) -> dict[str, DataFrame]:
+    def _track_streams(self) -> dict[str, DataFrame]:
         p, i = self.params, self.inputs
-        return {f: C.daily_listens(i.streams[f], self.stream_days, p.markets) for f in D.FEEDS}
+        return {f: C.track_streams(i.streams[f], self.stream_days, p.markets) for f in D.FEEDS}
 
     @cached_property
     def top_sme(self) -> DataFrame:
         p, i = self.params, self.inputs
-        return C.top_tracks(self._listens["SME"], i.dim_partner, p.top_n_sme, i.products_genre)
+        return C.top_tracks(self._track_streams["SME"], i.dim_partner, p.top_n_sme, i.products_genre)
 
     @cached_property
     def top_orchard(self) -> DataFrame:
         p, i = self.params, self.inputs
-        top = C.top_tracks(self._listens["ORCHARD"], i.dim_partner, p.top_n_orchard)
+        top = C.top_tracks(self._track_streams["ORCHARD"], i.dim_partner, p.top_n_orchard)
         return C.with_release_genre(top, C.release_genres(i.release_track_details))
 
+    @cached_property
+    def _tops(self) -> dict[str, DataFrame]:
+        """The bounded top lists, cut once: read by the segments and the covers."""
+        return {"SME": self._cut(self.top_sme, "top-sme"), "ORCHARD": self._cut(self.top_orchard, "top-orchard")}
+
     def segments(self, feed: str) -> DataFrame:
-        i = self.inputs
-        top = self.top_sme if feed == "SME" else self.top_orchard
-        return C.segment_streams(self._listens[feed], i.dim_partner, top, i.consumer_segments)
+        p, i = self.params, self.inputs
+        return C.segment_streams(
+            i.streams[feed], self.stream_days, p.markets, i.dim_partner, self._tops[feed], i.consumer_segments
+        )
 
     def covers(self, feed: str) -> DataFrame:
         p, i = self.params, self.inputs
@@ -158,7 +164,11 @@ class ChartJob:
         )
 
     def feed_tracks(self, feed: str) -> DataFrame:
-        return C.feed_tracks(self.segments(feed), self.covers(feed), feed)
+        p, i = self.params, self.inputs
+        covers = C.best_cover(
+            i.streams[feed], i.dim_partner, p.run_date, p.home_market, p.cover_sources, p.cover_days, self._tops[feed]
+        )
+        return C.feed_tracks(self.segments(feed), covers, feed)
 
     @cached_property
     def tracks(self) -> DataFrame:

@@ -83,12 +83,11 @@ def test_top_k_ties_and_null_isrc(spark):
         (1, 10, 5, D1, "M", "M", 1), (2, 11, 5, D1, "M", "M", 1), (3, 12, 50, D1, "M", "M", 1),
         (4, 13, 1, D1, "M", "M", 1),
     ], FACT)
-    listens = C.daily_listens(fact, D1, ["M"])
-    top = C.top_tracks(listens, dim, 3)
+    top = C.top_tracks(C.track_streams(fact, D1, ["M"]), dim, 3)
     got = [(r["top_rank"], r["track_isrc"]) for r in top.orderBy("top_rank").collect()]
     assert got == [(1, None), (2, "A"), (3, "B")]          # NULL ISRC ranks, tie -> A before B
     segs = spark.createDataFrame([(10, "M", "rap")], "consumer_key long, country_code string, segment_name string")
-    seg = C.segment_streams(listens, dim, top, segs).collect()
+    seg = C.segment_streams(fact, D1, ["M"], dim, top, segs).collect()
     assert sorted((r["track_isrc"], r["segment_name"]) for r in seg) == [("A", None), ("B", "rap")]
 
 
@@ -96,7 +95,7 @@ def test_genre_fan_out_counts_twice(spark):
     dim = spark.createDataFrame([(1, 1, "G", "u1", "a", "n")], DIM)
     genre = spark.createDataFrame([(1, "pop"), (1, "rock")], "product_key long, primary_genre string")
     fact = spark.createDataFrame([(1, 10, 5, D1, "M", "M", 1)], FACT)
-    (row,) = C.top_tracks(C.daily_listens(fact, D1, ["M"]), dim, 10, genre).collect()
+    (row,) = C.top_tracks(C.track_streams(fact, D1, ["M"]), dim, 10, genre).collect()
     assert row["total_streams"] == 10 and row["_primary_genre"] == "pop"
 
 

@@ -41,7 +41,7 @@ def test_fuzzy_join_is_two_equi_joins(spark):
 
 def test_day_slice_prunes_partitions(spark):
     job = E._job(spark, SF_SMALL)
-    listens = job._listens["SME"]
+    listens = job._track_streams["SME"]
     plan = listens._jdf.queryExecution().executedPlan().toString()
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
     assert any("report_date" in f and "country_code_stream" in f for f in filters), filters
