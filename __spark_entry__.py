@@ -43,8 +43,8 @@ LIST_COLS = ["market", "playlist", "position", "chart_rank", "track_isrc", "_tra
 
 def _job(spark: SparkSession, sf_dir: str, **overrides) -> ChartJob:
     """The chart job over the driver's tables, facts staged in the production layout."""
-    tune(spark)
     params = replace(FIXTURE_PARAMS, **overrides) if overrides else FIXTURE_PARAMS
+    tune(spark, max(params.top_n_sme, params.top_n_orchard, params.short_video_n_sme, params.short_video_n_orchard))
     return ChartJob(inputs(spark, sf_dir), params)
 
 

@@ -132,6 +132,8 @@ def playlist_batches(lists: DataFrame, as_of: "DateLike | Column", batch_size: i
                      uri_col: str = "_track_uri") -> DataFrame:
     """Publish calls of up to ``batch_size`` URIs per list.
 
+    ``as_of``: the data date, or a column of ``lists`` with it.
+
     The original sends the last batch first and inserts each at position 0,
     so the final list is in list order; ``send_order`` 0 is sent first.  Each
     batch collects at most ``batch_size`` URIs.

@@ -25,7 +25,7 @@ from chartwright.sources.fixtures import (
     VIEWS_SME,
     ChartInputs,
 )
-from chartwright.plans.session import materialize
+from chartwright.plans.session import materialize, stage_scope
 from chartwright.streaming.watermark import load_watermark, resolve_watermark
 
 
@@ -57,6 +57,9 @@ class ChartParams:
     artist_threshold: float = D.ARTIST_THRESHOLD
     streams_tables: tuple[str, ...] = (STREAMS_SME, STREAMS_ORCHARD)
     views_tables: tuple[str, ...] = (VIEWS_SME,)
+    # What a market publishes, as (market, list names, passes of "top"); a
+    # market that is not listed publishes every list with ``passes``.
+    market_lists: tuple[tuple[str, tuple[str, ...], int], ...] = ()
 
 
 # Parameters for the driver's tables (FIXTURES.md section 2): markets are
@@ -217,11 +220,20 @@ class ChartJob:
     def rules(self) -> list[P.PlaylistRule]:
         return P.theme_rules(self.params)
 
+    def lists_of(self, market: str) -> tuple[str, ...]:
+        """C20: the names of the lists that a market publishes."""
+        own = {m: names for m, names, _ in self.params.market_lists}
+        return own.get(market, (*(r.name for r in self.rules()), "viral"))
+
     def playlists(self, chart: DataFrame | None = None, names: tuple[str, ...] | None = None) -> DataFrame:
         base = self.chart if chart is None else chart
         rules = [r for r in self.rules() if names is None or r.name in names]
         selected = P.select_playlists(base, rules, self.params.playlist_length)
-        return P.declump(selected, max(r.passes for r in rules))
+        for market, lists, passes in self.params.market_lists:
+            here = F.col("market") == market
+            selected = selected.filter(~here | F.col("playlist").isin(*lists)).withColumn(
+                "passes", F.when(here & (F.col("playlist") == "top"), F.lit(passes)).otherwise(F.col("passes")))
+        return P.declump(selected, max([*(r.passes for r in rules), *(x for _, _, x in self.params.market_lists)]))
 
     def viral(self, chart: DataFrame | None = None) -> DataFrame:
         p = self.params
@@ -233,39 +245,33 @@ LIST_COLUMNS = ("market", "playlist", "position", "chart_rank", "track_isrc", "_
 
 
 def daily_lists(job: ChartJob) -> DataFrame:
-    """Every list of the run (themes + viral) in one long table."""
+    """Every list of the run (themes + viral, as its market publishes them) in one long table."""
     themes = job.playlists().select(*LIST_COLUMNS)
-    viral = job.viral().select(*LIST_COLUMNS)
+    markets = [m for m in job.params.markets if "viral" in job.lists_of(m)]
+    viral = job.viral().filter(F.col("market").isin(markets)).select(*LIST_COLUMNS)
     return themes.unionByName(viral)
 
 
 def run_daily(job: ChartJob, out_dir: str) -> DataFrame:
-    """The production run: chart, all lists, snapshot + manifest + batches.
+    """The production run: chart, all lists, batches, manifest.
 
     Writes ``out_dir/playlists`` (partitioned by market and list, dynamic
-    overwrite), ``out_dir/manifest`` (written after the lists) and
-    ``out_dir/batches`` (publish calls).  Returns the manifest.
+    overwrite), ``out_dir/batches`` (publish calls) and, last,
+    ``out_dir/manifest``.  Returns the manifest as read back.  The run's stage
+    folders are removed when it ends, however it ends.
     """
     from chartwright.sources import playlist_store as PS
 
     p = job.params
     spark = job.inputs.dim_partner.sparkSession
-    lists = job._cut(daily_lists(job))
-    names = [r.name for r in job.rules()] + ["viral"]
-    expected = PS.expected_lists(spark, p.markets, names)
     base = out_dir.rstrip("/")
-    days = job.stream_days
-    manifest = PS.write_playlists(lists, expected, f"{base}/playlists", f"{base}/manifest", days)
-    if isinstance(days, DataFrame):
-        lists = lists.join(F.broadcast(days), "market")   # one row per market
-        as_of = F.col("day")
-    else:
-        as_of = days
-    (
-        P.playlist_batches(lists, as_of)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("market", "playlist")
-        .parquet(f"{base}/batches")
-    )
-    return manifest
+    with stage_scope(spark):
+        lists = materialize(daily_lists(job), "lists")
+        expected = PS.expected_lists(spark, p.markets, {m: job.lists_of(m) for m in p.markets})
+        days = job.stream_days
+        manifest = materialize(PS.playlist_manifest(lists, expected, days), "manifest")
+        PS.write_lists(lists, manifest, f"{base}/playlists")
+        dated = lists.join(manifest.select("market", "playlist", "as_of"), ["market", "playlist"])
+        PS.write_batches(P.playlist_batches(dated, F.col("as_of")), manifest, f"{base}/batches")
+        PS.write_manifest(manifest, f"{base}/manifest")
+    return spark.read.parquet(f"{base}/manifest")

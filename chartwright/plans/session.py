@@ -13,23 +13,26 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chartwright import defaults as D
+
 # Top-k per market is written as ``row_number() <= n``.  Spark inserts a
-# partial ``WindowGroupLimit`` below the shuffle only when n is at most this
-# threshold (default 1000); the chart limits go up to 5000.
-WINDOW_GROUP_LIMIT = 10000
+# partial ``WindowGroupLimit`` below the shuffle only when n is at most its
+# threshold (1000 unless set), so an entry point passes the largest n it uses.
+DEFAULT_TOP_N = max(D.TOP_N_SME, D.TOP_N_ORCHARD, D.SHORT_VIDEO_TOP_SME, D.SHORT_VIDEO_TOP_ORCHARD, D.PLAYLIST_LENGTH)
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Plan-only settings; safe to call on a shared cluster session."""
+def tune(spark: SparkSession, largest_n: int = DEFAULT_TOP_N) -> SparkSession:
+    """Plan-only settings for limits up to ``largest_n``; results do not depend on them."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     current = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if current < WINDOW_GROUP_LIMIT:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(WINDOW_GROUP_LIMIT))
+    if current < largest_n:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(largest_n))
     return spark
 
 
@@ -85,6 +88,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
 
 
+_stages: list[list[str]] = []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Remove the stages that ``materialize`` writes inside the block, when it ends."""
+    _stages.append([])
+    try:
+        yield
+    finally:
+        for path in _stages.pop():
+            remove(spark, path)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet into the shared scratch folder and read it back.
 
@@ -95,5 +118,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _stages:
+        _stages[-1].append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)

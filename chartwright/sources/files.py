@@ -8,7 +8,8 @@ credentials in the Spark configuration.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,17 +20,39 @@ from chartwright.plans.session import scratch_path
 
 CORRUPT = "_corrupt_record"
 
+# What the reader takes an unquoted empty field for.  With a mark of its own,
+# a quoted empty field (``""``) stays an empty string and an unquoted one is NULL.
+_NULL_FIELD = "\u0001NULL\u0001"
+
 
 class BulkLoadError(RuntimeError):
     """Too many rows could not be parsed."""
 
 
+def _reader(spark: SparkSession, multi_line: bool):
+    """CSV as it is usually written: a quote inside a value is doubled, white space
+    belongs to the value.  ``multi_line`` allows line breaks inside quotes; a file
+    is then read by one task, so it is for files of moderate size."""
+    return (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("nullValue", _NULL_FIELD)
+        .option("emptyValue", "")
+        .option("multiLine", multi_line)
+    )
+
+
 def read_csv_feed(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                  infer_schema: bool = False) -> DataFrame:
+                  infer_schema: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV with a header line.  A typed schema is the normal form;
     type inference (an extra pass over the data) only on request.  Unlike
-    the original, a bad file raises instead of returning nothing."""
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    the original, a bad file raises instead of returning nothing.
+
+    An unquoted empty field is NULL, a quoted one (``""``) the empty string.
+    """
+    reader = _reader(spark, multi_line).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
@@ -37,17 +60,35 @@ def read_csv_feed(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.csv(path)
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
+def export_csv(df: DataFrame, path: str, single_file: bool = False, partition_by: Sequence[str] = ()) -> str:
     """Replace ``path`` with a header CSV (a folder of parts).
 
+    Values come back as they were from ``read_csv_feed`` (with ``multi_line``
+    where a value holds a line break): quotes are doubled, white space is kept,
+    NULL is an empty field and the empty string a quoted one.
     ``single_file`` coalesces to one part, which funnels all rows through one
     task: only for small outputs.  No byte-order mark is written.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    writer = (
+        out.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .option("nullValue", "").option("emptyValue", '""')
+    )
+    (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
     return path
 
 
+@dataclass(frozen=True)
+class BulkLoad:
+    """What a bulk load did."""
+
+    table: DataFrame     # the target after the load
+    loaded: int          # rows appended
+    rejected: int        # rows that could not be parsed
+    rejects: DataFrame   # their raw lines (``line``)
+
+
 def bulk_load_csv(
     spark: SparkSession,
     source: str,
@@ -56,13 +97,15 @@ def bulk_load_csv(
     widths: Mapping[str, int] | None = None,
     max_errors: int = D.BULK_LOAD_MAX_ERRORS,
     invalid_char: str = "?",
-) -> DataFrame:
+    rejects: str | None = None,
+    multi_line: bool = False,
+) -> BulkLoad:
     """Append a CSV file to a table, tolerating bad input.
 
     * skip the header line (a BOM before it is ignored by the reader);
-    * rows that do not parse (bad number, too few or too many fields) are
-      counted; when their number reaches ``max_errors`` the load fails and
-      nothing is appended, else they are dropped;
+    * rows that do not parse (bad number, too few or too many fields) go, as
+      raw lines, to the ``rejects`` table (default: beside the stage); when
+      their number reaches ``max_errors`` the load fails and nothing is appended;
     * strings longer than their column width are cut to it;
     * invalid UTF-8 bytes become ``invalid_char``.
 
@@ -72,10 +115,11 @@ def bulk_load_csv(
     a lost executor re-reads only its own split.
     """
     staged_path = scratch_path(spark, "bulk-load")
+    rejects = rejects or scratch_path(spark, "bulk-load-rejects")
     read_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     raw = (
-        spark.read.schema(read_schema)
-        .option("header", True)
+        _reader(spark, multi_line)
+        .schema(read_schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", True)
@@ -84,9 +128,10 @@ def bulk_load_csv(
     # Reference every column so the parser checks all of them.
     raw.select(*[F.col(f.name) for f in read_schema.fields]).write.parquet(staged_path)
     staged = spark.read.parquet(staged_path)
-    bad = staged.filter(F.col(CORRUPT).isNotNull()).count()
+    good, bad = staged.agg(F.count(F.when(F.col(CORRUPT).isNull(), 1)), F.count(CORRUPT)).first()
+    staged.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line")).write.mode("append").parquet(rejects)
     if bad >= max_errors:
-        raise BulkLoadError(f"{bad} rows could not be parsed (limit {max_errors})")
+        raise BulkLoadError(f"{bad} rows could not be parsed (limit {max_errors}); their lines are in {rejects}")
     cols = []
     for f in schema.fields:
         c = F.col(f.name)
@@ -97,7 +142,14 @@ def bulk_load_csv(
         cols.append(c.alias(f.name))
     clean = staged.filter(F.col(CORRUPT).isNull()).select(*cols)
     clean.write.mode("append").parquet(target)
-    return spark.read.parquet(target)
+    return BulkLoad(spark.read.parquet(target), good, bad, spark.read.parquet(rejects))
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as file sources report it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop).toString().rstrip("/")
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -108,18 +160,18 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     source with the ``content`` column pruned (no file is read); folders are
     the distinct parent paths of the files, with NULL size and time (empty
     folders are not seen).  As in the original, a name is a "file" when it
-    contains a dot; any other entry gets NULL size and time.
+    contains a dot; any other entry gets NULL size and time.  Names that start
+    with ``_`` or ``.`` are not listed: Spark's sources take them for hidden.
+    ``root`` may have any scheme or none.
     """
-    base = root.rstrip("/")
+    base = _qualified(spark, root)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(base)
         .select("path", "length", "modificationTime")
     )
-    rel = F.regexp_replace(F.col("path"), r"^[a-zA-Z]+:", "")
-    base_noscheme = base.split(":", 1)[1] if base.startswith("file:") else base
-    rel = F.substring(rel, len(base_noscheme) + 1, 1 << 30)
+    rel = F.substring(F.col("path"), len(base) + 1, 1 << 30)
     entries = files.select(
         F.regexp_extract(rel, r"^(.*)/[^/]*$", 1).alias("path"),
         F.regexp_extract(rel, r"([^/]*)$", 1).alias("filename"),

@@ -13,7 +13,7 @@ writes at least one row: an empty list writes a single tombstone row
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,67 +27,111 @@ class EmptyPlaylistError(RuntimeError):
     """A list is empty and ``allow_empty`` is off."""
 
 
-def expected_lists(spark: SparkSession, markets: Sequence[str], playlists: Sequence[str]) -> DataFrame:
-    """One row per (market, playlist) this run is responsible for."""
-    return spark.createDataFrame([(m,) for m in markets], "market string").select(
-        "market", F.explode(F.array(*[F.lit(p) for p in playlists])).alias("playlist")
-    )
+class UnexpectedPlaylistError(RuntimeError):
+    """There are tracks for a list that the run is not responsible for."""
 
 
-def write_playlists(
-    lists: DataFrame,
-    expected: DataFrame,
-    path: str,
-    manifest_path: str,
-    as_of: "DateLike | DataFrame",
-    uri_col: str = "_track_uri",
-    allow_empty: bool = True,
-) -> DataFrame:
-    """Replace each expected list with its new contents.
+def expected_lists(spark: SparkSession, markets: Sequence[str], playlists: "Sequence[str] | Mapping[str, Sequence[str]]") -> DataFrame:
+    """One row per (market, playlist) this run is responsible for.
+
+    ``playlists``: the names for every market, or names by market.
+    """
+    names = playlists if isinstance(playlists, Mapping) else {m: playlists for m in markets}
+    rows = [(m, p) for m in markets for p in names[m]]
+    return spark.createDataFrame(rows, "market string, playlist string")
 
-    ``as_of`` is the data date of all lists, or a ``(market, day)`` table.
 
-    Returns the manifest rows written (``market, playlist, description,
-    as_of, n_tracks``).  With ``allow_empty=False`` an empty list raises
-    before anything is written.
+def playlist_manifest(lists: DataFrame, expected: DataFrame, as_of: "DateLike | DataFrame", allow_empty: bool = True) -> DataFrame:
+    """One row per expected list: ``market, playlist, description, as_of, n_tracks``.
+
+    ``as_of`` is the data date of all lists, or a ``(market, day)`` table.
+    Raises before anything is written when ``lists`` has a list that is not
+    expected or, with ``allow_empty=False``, when an expected list is empty.
     """
-    rows = lists.select(*LIST_KEY, "position", F.col(uri_col).alias("track_uri"))
-    counts = rows.groupBy(*LIST_KEY).agg(F.count("*").alias("n_tracks"))
+    counts = lists.groupBy(*LIST_KEY).agg(F.count("*").alias("n_tracks"))
     if isinstance(as_of, DataFrame):
-        expected = expected.join(F.broadcast(as_of.select("market", F.col("day").alias("_as_of"))), "market", "left")
+        days = as_of.select("market", F.col("day").alias("_as_of"))     # one row per market
+        expected = expected.join(F.broadcast(days), "market", "left")
     else:
         expected = expected.withColumn("_as_of", _date(as_of))
-    manifest = (
-        expected.join(counts, list(LIST_KEY), "left")
-        .select(
-            *LIST_KEY,
-            playlist_description(F.col("_as_of")).alias("description"),
-            F.col("_as_of").alias("as_of"),
-            F.coalesce("n_tracks", F.lit(0)).cast("int").alias("n_tracks"),
-        )
+    joined = materialize(
+        expected.withColumn("_expected", F.lit(True)).join(counts, list(LIST_KEY), "full"), "manifest-stage"
     )
-    manifest = materialize(manifest, "manifest-stage")  # small; read twice below
+    strange = joined.filter(F.col("_expected").isNull()).select(*LIST_KEY).limit(5).collect()
+    if strange:
+        raise UnexpectedPlaylistError(f"unexpected playlists: {[tuple(r) for r in strange]}")
     if not allow_empty:
-        empty = manifest.filter(F.col("n_tracks") == 0).select(*LIST_KEY).limit(5).collect()
+        empty = joined.filter(F.col("n_tracks").isNull()).select(*LIST_KEY).limit(5).collect()
         if empty:
             raise EmptyPlaylistError(f"empty playlists: {[tuple(r) for r in empty]}")
-    tombstones = manifest.filter(F.col("n_tracks") == 0).select(
-        *LIST_KEY, F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("track_uri")
+    return joined.select(
+        *LIST_KEY,
+        playlist_description(F.col("_as_of")).alias("description"),
+        F.col("_as_of").alias("as_of"),
+        F.coalesce("n_tracks", F.lit(0)).cast("int").alias("n_tracks"),
     )
-    out = rows.join(expected.select(*LIST_KEY), list(LIST_KEY), "left_semi").unionByName(tombstones)
+
+
+def _replace(df: DataFrame, path: str) -> None:
+    """Rewrite the lists that ``df`` has rows for, and leave all others."""
     (
-        out.repartition(*LIST_KEY)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*LIST_KEY)
         .parquet(path)
     )
-    (
-        manifest.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LIST_KEY)
-        .parquet(manifest_path)
+
+
+def write_lists(lists: DataFrame, manifest: DataFrame, path: str, uri_col: str = "_track_uri") -> None:
+    """Replace each list of the manifest; an empty one becomes a tombstone."""
+    rows = lists.select(*LIST_KEY, "position", F.col(uri_col).alias("track_uri"))
+    tombstones = manifest.filter(F.col("n_tracks") == 0).select(
+        *LIST_KEY, F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("track_uri")
     )
+    _replace(rows.unionByName(tombstones).repartition(*LIST_KEY), path)
+
+
+def write_batches(batches: DataFrame, manifest: DataFrame, path: str) -> None:
+    """Replace the publish batches of each list of the manifest.
+
+    An empty list gets a tombstone (no ``batch_no``), so the batches of an
+    earlier run do not stay behind; ``read_batches`` drops it.
+    """
+    gone = manifest.filter(F.col("n_tracks") == 0).select(*LIST_KEY, "description")
+    for field in batches.schema.fields:
+        if field.name not in gone.columns:
+            gone = gone.withColumn(field.name, F.lit(None).cast(field.dataType))
+    _replace(batches.unionByName(gone), path)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The batches to publish, without tombstones."""
+    return spark.read.parquet(path).filter(F.col("batch_no").isNotNull())
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """The last write of a run: readers that follow it see finished lists."""
+    _replace(manifest, path)
+
+
+def write_playlists(
+    lists: DataFrame,
+    expected: DataFrame,
+    path: str,
+    manifest_path: str,
+    as_of: "DateLike | DataFrame",
+    uri_col: str = "_track_uri",
+    allow_empty: bool = True,
+) -> DataFrame:
+    """Replace each expected list with its new contents, then the manifest.
+
+    Returns the manifest rows written; see ``playlist_manifest`` for what
+    raises before anything is written.  ``lists`` is computed once.
+    """
+    rows = materialize(lists.select(*LIST_KEY, "position", uri_col), "lists")
+    manifest = playlist_manifest(rows, expected, as_of, allow_empty)
+    write_lists(rows, manifest, path, uri_col)
+    write_manifest(manifest, manifest_path)
     return manifest
 
 

@@ -1,5 +1,7 @@
 """Batches, snapshot overwrite, diff."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from chartwright.operators.playlists import playlist_batches
@@ -49,6 +51,27 @@ def test_empty_list_can_be_refused(spark, tmp_scratch):
         PS.write_playlists(empty, exp, tmp_scratch("pl"), tmp_scratch("mf"), "2024-01-07", allow_empty=False)
 
 
+def test_unexpected_list_is_refused_before_anything_is_written(spark, tmp_scratch):
+    import pytest
+
+    exp = PS.expected_lists(spark, ["M1"], ["top"])
+    lists = _list(spark, "M1", "top", 2).unionByName(_list(spark, "M1", "extra", 2))
+    path, manifest = tmp_scratch("pl"), tmp_scratch("mf")
+    with pytest.raises(PS.UnexpectedPlaylistError):
+        PS.write_playlists(lists, exp, path, manifest, "2024-01-07")
+    assert not os.path.exists(path.removeprefix("file:")) and not os.path.exists(manifest.removeprefix("file:"))
+
+
+def test_batches_of_a_list_that_becomes_empty_are_gone(spark, tmp_scratch):
+    path = tmp_scratch("batches")
+    exp = PS.expected_lists(spark, ["M1"], {"M1": ["top", "rap"]})
+    both = _list(spark, "M1", "top", 3).unionByName(_list(spark, "M1", "rap", 2))
+    for lists, day in ((both, "2024-01-07"), (_list(spark, "M1", "top", 2), "2024-01-08")):
+        PS.write_batches(playlist_batches(lists, day), PS.playlist_manifest(lists, exp, day), path)
+    (row,) = PS.read_batches(spark, path).collect()
+    assert (row["playlist"], row["n_uris"], row["description"]) == ("top", 2, "Dane na dzien 2024-01-08")
+
+
 def test_diff(spark):
     old = _list(spark, "M", "top", 3).withColumnRenamed("_track_uri", "track_uri")
     new = _list(spark, "M", "top", 4).filter(F.col("position") != 1).withColumnRenamed("_track_uri", "track_uri")
