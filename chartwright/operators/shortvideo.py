@@ -10,19 +10,21 @@ two joins whose union is exactly the set of pairs that can satisfy it:
 
 1. an equi-join on the ISRC (hash join);
 2. a similarity join by *prefix filtering* (Bayardo, Ma, Srikant, "Scaling
-   Up All Pairs Similarity Search", WWW 2007).  Fix one global order of
-   characters (rarest first).  For a unit vector x split into a prefix p and
-   a suffix s with ``|s| < t``, ``x.y <= p.y + |s|`` for any unit y, so
-   ``x.y >= t`` forces ``p.y > 0``; with both sides cut by the same order,
-   the two prefixes must share a character.  Both the name and the artist
-   condition must hold, so candidates share a (name-prefix char,
-   artist-prefix char) key.  No pair above the thresholds is lost; the
-   exact predicate is then evaluated on the candidates only.
-
-Neither side is broadcast on the assumption of smallness: the join keys are
-characters, and Spark / AQE size the joins at run time.  A hot key (many
-rows sharing their rarest characters) only produces candidates for rows
-that share those characters, and AQE splits a skewed join partition.
+   Up All Pairs Similarity Search", WWW 2007) over the distinct (name, artist)
+   texts of a market.  Fix one order of characters (rare ones first).  For a
+   vector x split into a prefix p and a suffix s with ``|s| < t |x|``,
+   ``x.y <= p.y + |s| |y|``, so ``cos >= t`` forces ``p.y > 0``; with both
+   sides cut by the same order, the two prefixes must share a character.  Both
+   the name and the artist condition must hold, so candidates share a
+   (name-prefix char, artist-prefix char) key.
+
+A pair comes out of that join once, at its first shared key, and only if
+``p.y + |s| |y outside p's characters|`` can still reach the threshold for name
+and artist; then the exact predicate decides.  Rows and their texts are attached
+to the texts that match.  No pair above the thresholds is lost.
+
+Neither side is broadcast on the assumption of smallness: Spark / AQE size the
+joins at run time, and AQE splits a skewed join partition.
 """
 
 from __future__ import annotations
@@ -77,75 +79,66 @@ def short_video_top(
     )
 
 
-# Characters missing from the order map sort last (cannot happen when the
-# map was built from both sides).
-_UNRANKED = 1 << 30
-# Above this many distinct characters the order falls back to code point
-# order: still exact, only less selective.
-MAX_ORDERED_CHARS = 200_000
+# The order of characters: those not listed come first (by code point), then
+# these, from rare to common.  Any fixed order is exact; this one is selective.
+COMMON_LAST = "zqxjkvbpygfwmucldrhsnioate "
 
 
-def character_order(vectors: Sequence[Column], frames: Sequence[DataFrame]) -> Column:
-    """Global character order, rarest first, as a literal map ``char -> rank``.
+def prefix(vec: Column, threshold: float) -> Column:
+    """``struct(p, s2)`` of a count map: the prefix entries ``(r, ch, c)`` in
+    character order and the squared mass of the suffix.
 
-    One aggregate over the characters of all vectors; its result has one row
-    per distinct character (bounded by the alphabet, not by the data), which
-    is collected and inlined into the plan as a constant map.
-    """
-    chars = None
-    for df, vec in zip(frames, vectors):
-        part = df.select(F.explode(F.map_keys(vec)).alias("ch"))
-        chars = part if chars is None else chars.unionByName(part)
-    freq = chars.groupBy("ch").count()
-    rows = freq.limit(MAX_ORDERED_CHARS + 1).collect()
-    if len(rows) > MAX_ORDERED_CHARS:
-        return F.create_map().cast("map<string,int>")
-    ranked = sorted(rows, key=lambda r: (r["count"], r["ch"]))
-    if not ranked:
-        return F.create_map().cast("map<string,int>")
-    return F.map_from_arrays(
-        F.array(*[F.lit(r["ch"]) for r in ranked]),
-        F.array(*[F.lit(i) for i in range(len(ranked))]),
-    )
-
-
-def prefix_chars(vec: Column, order: Column, threshold: float) -> Column:
-    """Characters of ``vec``'s prefix under ``order`` (see module docstring).
-
-    Entries are sorted by global rank; entry i is kept while the squared
-    mass from i to the end is at least ``t^2`` of the squared norm, which
-    keeps the first entry whose removal drops the rest below it.  The sorted
-    entries and the norm are bound once per row (``let``), not re-evaluated
-    inside the per-element lambda.
+    Entry i belongs to the prefix while the squared mass from i to the end is
+    at least ``t^2`` of the squared norm.
     """
     t = threshold - _PREFIX_SLACK
     ranked = F.array_sort(F.transform(
         F.map_entries(vec),
-        lambda e: F.struct(
-            F.coalesce(F.try_element_at(order, e["key"]), F.lit(_UNRANKED)).alias("r"),
-            e["key"].alias("ch"),
-            e["value"].cast("bigint").alias("c"),
-        ),
+        lambda e: F.struct(F.position(e["key"], F.lit(COMMON_LAST)).alias("r"), e["key"].alias("ch"), e["value"].alias("c")),
     ))
 
-    def keep(entries: Column, norm2: Column) -> Column:
-        mass_before = lambda i: F.aggregate(  # noqa: E731  squared mass of entries 0..i-1
-            F.slice(entries, 1, i), F.lit(0).cast("bigint"), lambda acc, x: acc + x["c"] * x["c"]
-        )
-        kept = F.filter(entries, lambda e, i: (norm2 - mass_before(i)) >= F.lit(t * t) * norm2)
-        return F.transform(kept, lambda e: e["ch"])
-
-    return let(ranked, lambda entries: let(squared_norm(vec), lambda norm2: keep(entries, norm2)))
-
-
-def prefix_keys(name_v: Column, artist_v: Column, order: Column, t_name: float, t_artist: float) -> Column:
-    """Every (name-prefix char, artist-prefix char) pair of one row."""
-    return let(
-        prefix_chars(artist_v, order, t_artist),
-        lambda pa: F.flatten(F.transform(
-            prefix_chars(name_v, order, t_name),
-            lambda a: F.transform(pa, lambda b: F.struct(a.alias("n"), b.alias("a"))),
-        )),
+    def mass(entries: Column) -> Column:
+        return F.aggregate(entries, F.lit(0).cast("bigint"), lambda acc, x: acc + x["c"] * x["c"])
+
+    def cut(entries: Column, norm2: Column) -> Column:
+        kept = F.filter(entries, lambda e, i: (norm2 - mass(F.slice(entries, 1, i))) >= F.lit(t * t) * norm2)
+        return let(kept, lambda p: F.struct(p.alias("p"), (norm2 - mass(p)).alias("s2")))
+
+    return let(ranked, lambda entries: let(squared_norm(vec), lambda norm2: cut(entries, norm2)))
+
+
+def _reachable(x: Column, x_norm2: Column, y: Column, y_norm2: Column, threshold: float) -> Column:
+    """Whether cos(x, y) can reach the threshold, from x's prefix and y's counts on its characters."""
+    at = lambda e: F.coalesce(F.try_element_at(y, e["ch"]), F.lit(0).cast("bigint"))
+    shared = F.aggregate(x["p"], F.lit(0).cast("bigint"), lambda acc, e: acc + e["c"] * at(e))
+    there = F.aggregate(x["p"], F.lit(0).cast("bigint"), lambda acc, e: acc + at(e) * at(e))
+    most = shared + F.sqrt(x["s2"]) * F.sqrt(y_norm2 - there)
+    return most >= F.lit(threshold - _PREFIX_SLACK) * F.sqrt(x_norm2) * F.sqrt(y_norm2)
+
+
+def _texts(rows: DataFrame, name: str, artist: str, side: str, t_name: float, t_artist: float) -> DataFrame:
+    """Distinct texts of a market with their vectors, prefixes and keys."""
+    v = rows.select("market", F.col(name).alias("name"), F.col(artist).alias("artist")).dropna().distinct().select(
+        "*", char_counts("name").alias("nv"), char_counts("artist").alias("av")
+    ).select("*", squared_norm(F.col("nv")).alias("nn"), squared_norm(F.col("av")).alias("an"),
+             prefix(F.col("nv"), t_name).alias("np"), prefix(F.col("av"), t_artist).alias("ap"))
+    names, artists = F.transform("np.p", lambda e: e["ch"]), F.transform("ap.p", lambda e: e["ch"])
+    keyed = v.select("*", names.alias("nc"), artists.alias("ac")).select(
+        "*", F.explode("nc").alias("kn")).select("*", F.explode("ac").alias("ka"))
+    return keyed.select(*[F.col(c).alias(f"{side}_{c}") for c in keyed.columns])
+
+
+def candidate_texts(chart_rows: DataFrame, short_video: DataFrame, name_threshold: float, artist_threshold: float) -> DataFrame:
+    """Pairs of distinct (name, artist) texts that may match, each once."""
+    left = _texts(chart_rows, "_track_name", "_track_artist", "l", name_threshold, artist_threshold)
+    right = _texts(short_video, "_track_name_tt", "_artist_name_tt", "r", name_threshold, artist_threshold)
+    c = F.col
+    return left.join(
+        right,
+        (c("l_market") == c("r_market")) & (c("l_kn") == c("r_kn")) & (c("l_ka") == c("r_ka"))
+        & (F.array_intersect("l_nc", "r_nc")[0] == c("l_kn")) & (F.array_intersect("l_ac", "r_ac")[0] == c("l_ka"))
+        & _reachable(c("l_np"), c("l_nn"), c("r_nv"), c("r_nn"), name_threshold)
+        & _reachable(c("l_ap"), c("l_an"), c("r_av"), c("r_an"), artist_threshold),
     )
 
 
@@ -161,51 +154,43 @@ def fuzzy_match_tracks(
     _track_artist, _track_name, ...``; ``short_video``: output of
     ``short_video_top`` for one or more feeds.  Returns one row per matching
     pair with both similarities.
-
-    Plan: count vectors and prefix keys are row-local expressions (no
-    shuffle); candidates come from one equi-join on (market, key) and one on
-    (market, ISRC); their union is de-duplicated per pair, then the exact
-    predicate is evaluated on what is left.
     """
     for t in (name_threshold, artist_threshold):
         if not 0.0 < t <= 1.0:
             raise ValueError("similarity thresholds must be in (0, 1]")
-    left = chart_rows.select(
-        "market", "chart_rank", "track_isrc", "_track_uri", "_track_artist", "_track_name",
-        char_counts("_track_name").alias("l_name_v"), char_counts("_track_artist").alias("l_artist_v"),
-    ).select("*", *[squared_norm(F.col(c)).alias(f"{c}_n2") for c in ("l_name_v", "l_artist_v")])
+    left = chart_rows.select("market", "chart_rank", "track_isrc", "_track_uri", "_track_artist", "_track_name")
     right = short_video.select(
         F.col("market").alias("r_market"), F.col("feed").alias("tt_feed"), "tt_rank", "isrc_cd",
         "_artist_name_tt", "_track_name_tt", "tt_creations",
-        char_counts("_track_name_tt").alias("r_name_v"), char_counts("_artist_name_tt").alias("r_artist_v"),
-    ).select("*", *[squared_norm(F.col(c)).alias(f"{c}_n2") for c in ("r_name_v", "r_artist_v")])
-    order = character_order(
-        [F.col("l_name_v"), F.col("l_artist_v"), F.col("r_name_v"), F.col("r_artist_v")],
-        [left, left, right, right],
     )
-    lk = left.select("*", F.explode(
-        prefix_keys(F.col("l_name_v"), F.col("l_artist_v"), order, name_threshold, artist_threshold)
-    ).alias("l_key"))
-    rk = right.select("*", F.explode(
-        prefix_keys(F.col("r_name_v"), F.col("r_artist_v"), order, name_threshold, artist_threshold)
-    ).alias("r_key"))
-    by_text = lk.join(rk, (lk.market == rk.r_market) & (lk.l_key == rk.r_key)).drop("l_key", "r_key")
-    by_isrc = left.join(right, (left.market == right.r_market) & (left.track_isrc == right.isrc_cd))
-    pairs = by_text.unionByName(by_isrc).dropDuplicates(["market", "chart_rank", "tt_feed", "tt_rank"])
-    scored = pairs.select(
+    texts = (
+        candidate_texts(chart_rows, short_video, name_threshold, artist_threshold)
+        .select(
+            "l_market", "l_name", "l_artist", "r_name", "r_artist",
+            cosine(F.col("l_nv"), F.col("r_nv"), F.col("l_nn"), F.col("r_nn")).alias("sim_name"),
+            cosine(F.col("l_av"), F.col("r_av"), F.col("l_an"), F.col("r_an")).alias("sim_artist"),
+        )
+        .filter((F.col("sim_name") >= name_threshold) & (F.col("sim_artist") >= artist_threshold))
+    )
+    same_isrc = F.coalesce(F.col("track_isrc") == F.col("isrc_cd"), F.lit(False))
+    by_text = (
+        left.join(texts, (F.col("market") == F.col("l_market")) & (F.col("_track_name") == F.col("l_name"))
+                  & (F.col("_track_artist") == F.col("l_artist")))
+        .join(right, (F.col("market") == F.col("r_market")) & (F.col("_track_name_tt") == F.col("r_name"))
+              & (F.col("_artist_name_tt") == F.col("r_artist")))
+        .filter(~same_isrc)     # those come from the other branch
+    )
+    by_isrc = left.join(right, (F.col("market") == F.col("r_market")) & (F.col("track_isrc") == F.col("isrc_cd"))).select(
         "*",
-        cosine(F.col("l_name_v"), F.col("r_name_v"), F.col("l_name_v_n2"), F.col("r_name_v_n2")).alias("sim_name"),
-        cosine(F.col("l_artist_v"), F.col("r_artist_v"), F.col("l_artist_v_n2"), F.col("r_artist_v_n2"))
-        .alias("sim_artist"),
+        cosine(char_counts("_track_name"), char_counts("_track_name_tt")).alias("sim_name"),
+        cosine(char_counts("_track_artist"), char_counts("_artist_name_tt")).alias("sim_artist"),
     )
-    keep = (
-        (F.col("sim_name") >= name_threshold) & (F.col("sim_artist") >= artist_threshold)
-    ) | F.coalesce(F.col("track_isrc") == F.col("isrc_cd"), F.lit(False))
-    return scored.filter(keep).select(
+    cols = [
         "market", "chart_rank", "track_isrc", "_track_uri", "_track_artist", "_track_name",
         "tt_feed", "tt_rank", "isrc_cd", "_artist_name_tt", "_track_name_tt", "tt_creations",
         "sim_name", "sim_artist",
-    )
+    ]
+    return by_text.select(*cols).unionByName(by_isrc.select(*cols))
 
 
-__all__ = ["short_video_top", "character_order", "prefix_chars", "prefix_keys", "fuzzy_match_tracks"]
+__all__ = ["short_video_top", "prefix", "candidate_texts", "fuzzy_match_tracks"]
