@@ -18,12 +18,13 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from chartwright.operators import playlists as P  # noqa: E402
-from chartwright.plans.daily import ALL_MARKETS, FIXTURE_PARAMS, ChartJob  # noqa: E402
+from chartwright.plans.daily import ALL_MARKETS, FIXTURE_PARAMS, ChartJob, daily_lists, run_daily  # noqa: E402
 from chartwright.plans.session import scratch_path, tune  # noqa: E402
 from chartwright.sources import files as FS  # noqa: E402
 from chartwright.sources import playlist_store as PS  # noqa: E402
 from chartwright.sources.fixtures import staged_chart_inputs  # noqa: E402
 from chartwright.functions.text import artist_tokens, char_counts, cosine, squared_norm  # noqa: E402
+from chartwright.functions.time import COMPACT_FORMAT, epoch_timestamp, parse_timestamp  # noqa: E402
 from chartwright.streaming.watermark import load_watermark  # noqa: E402
 from dataclasses import replace  # noqa: E402
 
@@ -222,9 +223,11 @@ def q_playlist_snapshot(spark, sf_dir):
 
 # --- C22..C24 ---------------------------------------------------------------
 def q_csv_roundtrip(spark, sf_dir):
-    chart = _job(spark, sf_dir).chart
+    """The chart with spaces, quotes and line breaks put into its texts, and the genre sometimes empty."""
+    chart = _job(spark, sf_dir).chart.withColumn("_track_name", F.concat(F.lit(" "), "_track_name", F.lit(' "live"\n, 2 '))).withColumn(
+        "_primary_genre", F.when(F.col("feed") == "SME", F.col("_primary_genre")).otherwise(""))
     path = FS.export_csv(chart, scratch_path(spark, "chart-csv"))
-    return FS.read_csv_feed(spark, path, chart.schema)
+    return FS.read_csv_feed(spark, path, chart.schema, multi_line=True)
 
 
 TRACK_SCHEMA = T.StructType([
@@ -245,11 +248,94 @@ def q_bulk_load_csv(spark, sf_dir):
     tracks = _job(spark, sf_dir).tracks
     src = FS.export_csv(tracks, scratch_path(spark, "tracks-csv"))
     return FS.bulk_load_csv(spark, src, scratch_path(spark, "tracks-table"), TRACK_SCHEMA,
-                            widths={"_track_name": 12})
+                            widths={"_track_name": 12}).table
+
+
+def q_bulk_load_rejects(spark, sf_dir):
+    """Rows without a segment are written with a number that is none; their lines are kept."""
+    tracks = _job(spark, sf_dir).tracks
+    streams = F.when(F.col("segment_name").isNotNull(), F.col("segment_streams").cast("string")).otherwise("n/a")
+    src = FS.export_csv(tracks.withColumn("segment_streams", streams), scratch_path(spark, "tracks-csv"))
+    return FS.bulk_load_csv(spark, src, scratch_path(spark, "tracks-table"), TRACK_SCHEMA, max_errors=1 << 40).rejects
 
 
 def q_file_inventory(spark, sf_dir):
-    return FS.file_inventory(spark, sf_dir)
+    """Folders, and whether they hold files, of an export of the customers by market."""
+    segments = inputs(spark, sf_dir).consumer_segments.withColumnRenamed("country_code", "market")
+    found = FS.file_inventory(spark, FS.export_csv(segments, scratch_path(spark, "segments-csv"), partition_by=["market"]))
+    return found.select("path", F.when(F.col("is_file"), "*").otherwise(F.col("filename")).alias("name"), "is_file").distinct()
+
+
+# --- limits that cut ----------------------------------------------------------
+def q_top_tracks_sme_100(spark, sf_dir):
+    return _job(spark, sf_dir, top_n_sme=100).top_sme
+
+
+def q_top_tracks_orchard_50(spark, sf_dir):
+    return _job(spark, sf_dir, top_n_orchard=50).top_orchard
+
+
+def q_short_video_top_10_5(spark, sf_dir):
+    return _job(spark, sf_dir, short_video_n_sme=10, short_video_n_orchard=5).short_video
+
+
+def q_playlist_viral_20(spark, sf_dir):
+    return _job(spark, sf_dir, playlist_length=20).viral().select(*LIST_COLS, "tt_creations")
+
+
+# --- C1, C20, C21 for all markets ---------------------------------------------
+def q_short_video_at_watermark(spark, sf_dir):
+    return _job(spark, sf_dir, short_video_day=None, markets=ALL_MARKETS).short_video
+
+
+MARKET_LISTS = (("AFRICA", ("top",), 0), ("AMERICA", ("top",), 4), ("ASIA", ("top",), 4), ("MIDDLE EAST", ("top",), 2))
+
+
+def q_playlist_lists_by_market(spark, sf_dir):
+    """One market publishes every list, the others the top list, each with its own passes."""
+    return daily_lists(_job(spark, sf_dir, markets=ALL_MARKETS, market_lists=MARKET_LISTS)).select(*LIST_COLS)
+
+
+def _daily(spark, sf_dir) -> str:
+    out = scratch_path(spark, "daily")
+    run_daily(_job(spark, sf_dir, markets=ALL_MARKETS), out)
+    return out
+
+
+def q_daily_batches(spark, sf_dir):
+    b = PS.read_batches(spark, f"{_daily(spark, sf_dir)}/batches")
+    return b.select(
+        "market", "playlist", "batch_no", "send_order", "insert_at", "n_uris",
+        F.array_join("uris", ",").alias("uri_list"), "description",
+    )
+
+
+def q_daily_manifest(spark, sf_dir):
+    found = spark.read.parquet(f"{_daily(spark, sf_dir)}/manifest")
+    return found.select("market", "playlist", "description", F.col("as_of").cast("string").alias("as_of"), "n_tracks")
+
+
+# --- F4, F18 ------------------------------------------------------------------
+def q_playlist_items(spark, sf_dir):
+    """The lists as the bodies that a playlist service answers with, and read from them."""
+    item = F.struct(F.struct(F.col("_track_uri").alias("uri")).alias("track"))
+    bodies = _job(spark, sf_dir).playlists().groupBy("market", "playlist").agg(
+        F.to_json(F.struct(F.transform(
+            F.sort_array(F.collect_list(F.struct("position", item.alias("item")))), lambda x: x["item"]).alias("items"))).alias("body"))
+    return PS.playlist_items_from_json(bodies)
+
+
+def q_parsed_timestamps(spark, sf_dir):
+    """The events' times written in three ways and parsed."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    written = events.select(
+        "event_id", F.date_format("ts", COMPACT_FORMAT).alias("compact"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("iso"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("seconds"), F.concat(F.lit("at "), F.col("event_type")).alias("none"),
+    )
+    return written.select(
+        "event_id", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(n) for c, n in (
+            (parse_timestamp("compact"), "compact"), (parse_timestamp("iso"), "iso"), (epoch_timestamp("seconds"), "epoch"),
+            (parse_timestamp("none"), "none"))])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -286,6 +372,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip": q_csv_roundtrip,
         "bulk_load_csv": q_bulk_load_csv,
         "file_inventory": q_file_inventory,
+        "bulk_load_rejects": q_bulk_load_rejects,
+        "top_tracks_sme_100": q_top_tracks_sme_100,
+        "top_tracks_orchard_50": q_top_tracks_orchard_50,
+        "short_video_top_10_5": q_short_video_top_10_5,
+        "playlist_viral_20": q_playlist_viral_20,
+        "short_video_at_watermark": q_short_video_at_watermark,
+        "playlist_lists_by_market": q_playlist_lists_by_market,
+        "daily_batches": q_daily_batches,
+        "daily_manifest": q_daily_manifest,
+        "playlist_items": q_playlist_items,
+        "parsed_timestamps": q_parsed_timestamps,
     })
     if llm_queries is not None:
         q.update(llm_queries.queries())

@@ -226,7 +226,7 @@ def declump_ctes(src: str, name: str, max_passes: int) -> list[str]:
 
 
 def playlist_ctes(s: str = "", names=("top", "rap", "gaming", "party", "catalogue"), passes_override=None,
-                  length: int = 150) -> list[str]:
+                  length: int = 150, market_lists=()) -> list[str]:
     preds = _theme_predicates()
     parts = []
     for nm in names:
@@ -236,6 +236,9 @@ def playlist_ctes(s: str = "", names=("top", "rap", "gaming", "party", "catalogu
         parts.append(f"""SELECT market, '{nm}' AS playlist, {passes} AS passes, chart_rank, track_isrc,
                                 _track_uri, _track_artist FROM chart{s} WHERE {pred}""")
     union = " UNION ALL ".join(parts)
+    for market, lists, passes in market_lists:
+        union = f"""SELECT * REPLACE (CASE WHEN market = '{market}' AND playlist = 'top' THEN {passes} ELSE passes END AS passes)
+                    FROM ({union}) WHERE market <> '{market}' OR playlist IN ({_in(lists)})"""
     out = [f"""sel{s} AS (
         SELECT * FROM (
             SELECT *, CAST(row_number() OVER (PARTITION BY market, playlist ORDER BY chart_rank) AS INTEGER) AS position
@@ -245,8 +248,13 @@ def playlist_ctes(s: str = "", names=("top", "rap", "gaming", "party", "catalogu
     return out
 
 
-def short_video_ctes(day: str = "2024-01-30", markets=("EUROPE",), n_sme: int = 250, n_orch: int = 50) -> list[str]:
+def short_video_ctes(day: str = "2024-01-30", markets=("EUROPE",), n_sme: int = 250, n_orch: int = 50,
+                     watermark: bool = False) -> list[str]:
     mk = _in(markets)
+    day_pred = f"f.report_date = DATE '{day}'"
+    if watermark:
+        day_pred = ("(f.country_code, f.report_date) IN (SELECT country_code, min(max_report_date) FROM load_status "
+                    "WHERE fact_table = 'views_sme' GROUP BY 1)")
     out = []
     for feed, fv, n in (("SME", "fv_sme", n_sme), ("ORCHARD", "fv_orch", n_orch)):
         out.append(f"""sv_{feed} AS (
@@ -257,7 +265,7 @@ def short_video_ctes(day: str = "2024-01-30", markets=("EUROPE",), n_sme: int =
                 FROM (SELECT f.country_code AS market, d.isrc_cd, min(d.artist_name) AS _artist_name_tt,
                              min(d.track_title) AS _track_name_tt, CAST(sum(f.creations) AS BIGINT) AS tt_creations
                       FROM {fv} f JOIN dpi_tt d USING (partner_info_key)
-                      WHERE f.country_code IN ({mk}) AND f.report_date = DATE '{day}'
+                      WHERE f.country_code IN ({mk}) AND {day_pred}
                       GROUP BY 1, 2))
             WHERE tt_rank <= {n})""")
     out.append("""sv AS (SELECT * FROM sv_SME UNION ALL SELECT * FROM sv_ORCHARD)""")
@@ -435,9 +443,55 @@ def oracle_sql() -> dict[str, str]:
         SELECT market, playlist, _track_uri, 'removed' FROM (
             SELECT market, playlist, _track_uri FROM lists_o EXCEPT SELECT market, playlist, _track_uri FROM lists_n)""")
 
-    q["csv_roundtrip"] = q["chart"]
+    awkward = _chart_cols().replace("_track_name", "' ' || _track_name || ' \"live\"' || chr(10) || ', 2 ' AS _track_name").replace(
+        "_primary_genre", "CASE WHEN feed = 'SME' THEN _primary_genre ELSE '' END AS _primary_genre")
+    q["csv_roundtrip"] = _with(ch, f"SELECT {awkward} FROM chart")
     q["bulk_load_csv"] = _with(ch, f"""
         SELECT market, track_isrc, segment_name, _track_uri, _track_artist, substr(_track_name, 1, 12) AS _track_name,
                _primary_genre, segment_streams, total_streams, feed FROM tracks""")
     q["playlist_snapshot"] = _with(pl, f"SELECT market, playlist, position, _track_uri AS track_uri FROM lists")
+
+    fields = ["market", "track_isrc", "segment_name", "_track_uri", "_track_artist", "_track_name", "_primary_genre",
+              "'n/a'", "CAST(total_streams AS VARCHAR)", "feed"]
+    line = " || ',' || ".join(f"coalesce({f}, '')" for f in fields)
+    q["bulk_load_rejects"] = _with(ch, f"SELECT {line} AS line FROM tracks WHERE segment_name IS NULL")
+    q["file_inventory"] = _with(fx, """
+        SELECT '' AS path, 'market=' || country_code AS name, false AS is_file FROM scs GROUP BY country_code
+        UNION ALL SELECT '/market=' || country_code, '*', true FROM scs GROUP BY country_code""")
+
+    q["top_tracks_sme_100"] = _with(fx + chart_ctes(n_sme=100), f"SELECT {top_cols} FROM top_sme")
+    q["top_tracks_orchard_50"] = _with(fx + chart_ctes(n_orch=50), f"SELECT {top_cols} FROM top_orch")
+    video_cols = "market, feed, tt_rank, isrc_cd, _artist_name_tt, _track_name_tt, tt_creations"
+    q["short_video_top_10_5"] = _with(fx + short_video_ctes(n_sme=10, n_orch=5), f"SELECT {video_cols} FROM sv")
+    q["short_video_at_watermark"] = _with(fx + short_video_ctes(markets=ALL_MARKETS, watermark=True),
+                                          f"SELECT {video_cols} FROM sv")
+    q["playlist_viral_20"] = _with(fz + viral_ctes(20), f"SELECT {LIST_COLS}, tt_creations FROM viral")
+
+    everywhere = (fx + chart_ctes(markets=ALL_MARKETS) + short_video_ctes(markets=ALL_MARKETS) + fuzzy_ctes() + viral_ctes())
+    by_market = (("AFRICA", ("top",), 0), ("AMERICA", ("top",), 4), ("ASIA", ("top",), 4), ("MIDDLE EAST", ("top",), 2))
+    q["playlist_lists_by_market"] = _with(everywhere + playlist_ctes(market_lists=by_market), f"""
+        SELECT {LIST_COLS} FROM lists UNION ALL SELECT {LIST_COLS} FROM viral WHERE market = 'EUROPE'""")
+    daily = everywhere + playlist_ctes() + ["""daily AS (
+        SELECT market, playlist, position, _track_uri FROM lists UNION ALL
+        SELECT market, playlist, position, _track_uri FROM viral)"""]
+    q["daily_batches"] = _with(daily, """
+        SELECT market, playlist, CAST(batch_no AS INTEGER) AS batch_no,
+               CAST(max(batch_no) OVER (PARTITION BY market, playlist) - batch_no AS INTEGER) AS send_order,
+               0 AS insert_at, CAST(n_uris AS INTEGER) AS n_uris, uri_list,
+               'Dane na dzien ' || strftime(DATE '2000-01-01', '%Y-%m-%d') AS description
+        FROM (SELECT market, playlist, (position - 1) // 100 AS batch_no, count(*) AS n_uris,
+                     string_agg(_track_uri, ',' ORDER BY position) AS uri_list
+              FROM daily GROUP BY 1, 2, 3)""")
+    markets = ", ".join(f"('{m}')" for m in ALL_MARKETS)
+    names = ", ".join(f"('{n}')" for n in ("top", "rap", "gaming", "party", "catalogue", "viral"))
+    q["daily_manifest"] = _with(daily, f"""
+        SELECT m.market, n.playlist, 'Dane na dzien 2000-01-01' AS description, '2000-01-01' AS as_of,
+               CAST(coalesce(c.n, 0) AS INTEGER) AS n_tracks
+        FROM (VALUES {markets}) m(market) CROSS JOIN (VALUES {names}) n(playlist)
+        LEFT JOIN (SELECT market, playlist, count(*) AS n FROM daily GROUP BY 1, 2) c
+          ON c.market = m.market AND c.playlist = n.playlist""")
+    q["playlist_items"] = _with(pl, "SELECT market, playlist, position, _track_uri AS track_uri FROM lists")
+    q["parsed_timestamps"] = """
+        SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS compact, strftime(ts, '%Y-%m-%d %H:%M:%S') AS iso,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') AS epoch, CAST(NULL AS VARCHAR) AS "none" FROM events"""
     return q
