@@ -42,11 +42,13 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 LIST_COLS = ["market", "playlist", "position", "chart_rank", "track_isrc", "_track_uri", "_track_artist"]
 
 
-def _job(spark: SparkSession, sf_dir: str, **overrides) -> ChartJob:
-    """The chart job over the driver's tables, facts staged in the production layout."""
+def _job(spark: SparkSession, sf_dir: str, materialize: bool = True, **overrides) -> ChartJob:
+    """The chart job over the driver's tables, facts staged in the production layout.
+
+    ``materialize=False`` leaves the stages in one plan, for looking at it."""
     params = replace(FIXTURE_PARAMS, **overrides) if overrides else FIXTURE_PARAMS
     tune(spark, max(params.top_n_sme, params.top_n_orchard, params.short_video_n_sme, params.short_video_n_orchard))
-    return ChartJob(inputs(spark, sf_dir), params)
+    return ChartJob(inputs(spark, sf_dir), params, materialize)
 
 
 def inputs(spark: SparkSession, sf_dir: str):

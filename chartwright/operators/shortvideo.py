@@ -137,8 +137,10 @@ def candidate_texts(chart_rows: DataFrame, short_video: DataFrame, name_threshol
         right,
         (c("l_market") == c("r_market")) & (c("l_kn") == c("r_kn")) & (c("l_ka") == c("r_ka"))
         & (F.array_intersect("l_nc", "r_nc")[0] == c("l_kn")) & (F.array_intersect("l_ac", "r_ac")[0] == c("l_ka"))
+        & _reachable(c("l_ap"), c("l_an"), c("r_av"), c("r_an"), artist_threshold)
+        & _reachable(c("r_ap"), c("r_an"), c("l_av"), c("l_an"), artist_threshold)
         & _reachable(c("l_np"), c("l_nn"), c("r_nv"), c("r_nn"), name_threshold)
-        & _reachable(c("l_ap"), c("l_an"), c("r_av"), c("r_an"), artist_threshold),
+        & _reachable(c("r_np"), c("r_nn"), c("l_nv"), c("l_nn"), name_threshold),
     )
 
 
