@@ -29,10 +29,17 @@ must add up to more than H.
 
 **Buckets.**  A key's sets arrive sorted by size in one stream, cut into runs
 without being held.  Short runs give all their pairs.  A long run gives pairs
-with its first set and with the previous one; after these are verified and
-joined into components, only pairs of a run in different components are left,
-and these are all compared.  So a family of near copies costs a few pairs each,
-and no link between different components is lost.
+with its first set; after these are verified and joined into components, only
+pairs of a run in different components are left, and these are all compared.  So
+a family of near copies costs a few pairs each, and no link between different
+components is lost.
+
+**Counting.**  The pigeonhole counts: if x has N segments and differs from y in
+H elements at most, they share N - H keys at least.  A pair that met in c short
+runs, and can have met in no more long ones than either has, is dropped when
+that is too few; and a set whose long runs alone are too few asks for no further
+comparison there.  A passage shared by many documents thus costs no comparison
+of documents that are otherwise different.
 
 **Verification** compares the sets themselves.
 
@@ -65,7 +72,9 @@ FREQUENT_ONE_IN = 500
 #: Asked keys and elements that are handed to the tasks (8 bytes each) rather than joined.
 MAX_KEYS = 6_000_000
 #: Runs up to this length give all pairs at once.
-SHORT_RUN = 8
+SHORT_RUN = 16
+#: Ids of documents that are handed to the tasks as a broadcast table (16 bytes each); more are joined.
+MAX_IDS = 500_000
 _U = np.uint64
 
 
@@ -245,7 +254,7 @@ def _pairs_of(key: np.ndarray, ident: np.ndarray, size: np.ndarray, asks: np.nda
     left, right = [], []
     for d in range(1, SHORT_RUN):
         i = np.arange(n - d)
-        ok = (key[:-d] == key[d:]) & ((d == 1) | (run[:-d] <= SHORT_RUN)) if n > d else np.zeros(0, bool)
+        ok = (key[:-d] == key[d:]) & (run[:-d] <= SHORT_RUN) if n > d else np.zeros(0, bool)
         left.append(i[ok])
         right.append(i[ok] + d)
     star = np.flatnonzero((run > SHORT_RUN) & (np.arange(n) > first))
@@ -258,7 +267,7 @@ def _pairs_of(key: np.ndarray, ident: np.ndarray, size: np.ndarray, asks: np.nda
 
 
 def _stream_pairs(t: Fraction):
-    """Task over rows (key, size, id, asks) sorted by key and size: pairs (null, a, b) and members of long runs (key, id, size)."""
+    """Task over rows (key, size, id, asks) sorted by key and size: pairs (null, a, b, times met) and members of long runs (key, id, size and asks, 0)."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 4
@@ -266,14 +275,16 @@ def _stream_pairs(t: Fraction):
         def out(rows: list[np.ndarray]) -> pa.RecordBatch:
             key, size, ident, asks = rows
             i, j, long = _pairs_of(key, ident, size, asks.astype(bool), t)
-            a, b = np.minimum(ident[i], ident[j]), np.maximum(ident[i], ident[j])
+            a, b = ident[i], ident[j]  # the earlier of a run first, which is the same in all runs
+            met = np.zeros(0, np.int64)
             if len(a):
-                a, b = np.unique(np.stack((a, b)), axis=1)
+                (a, b), met = np.unique(np.stack((a, b)), axis=1, return_counts=True)
             member = np.flatnonzero(long)
             packed = size[member] * 2 + asks[member]
             return pa.RecordBatch.from_arrays([
                 pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(key[member])]),
-                pa.array(np.concatenate((a, ident[member]))), pa.array(np.concatenate((b, packed)))], ["key", "a", "b"])
+                pa.array(np.concatenate((a, ident[member]))), pa.array(np.concatenate((b, packed))),
+                pa.array(np.concatenate((met, np.zeros(len(member), np.int64))))], ["key", "a", "b", "met"])
 
         for batch in batches:
             rows = [np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))) for c, h in enumerate(held)]
@@ -293,7 +304,8 @@ def _stream_pairs(t: Fraction):
 
 
 def _stream_crossing(t: Fraction):
-    """Task over rows (key, size, id, asks, component) sorted by key: all pairs of a key in different components."""
+    """Task over rows (key, size, id, asks, component) sorted by key and size: the pairs of a key in
+    different components of which the smaller set asks, or either where both are of one size."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 5
@@ -301,13 +313,22 @@ def _stream_crossing(t: Fraction):
         def out(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             key, size, ident, asks, part = rows
             cut = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
-            for lo, hi in zip(cut, cut[1:], strict=False):
-                for i in range(lo, hi - 1):
-                    top = lo + np.searchsorted(size[lo:hi], size[i] * t.denominator // t.numerator, side="right")
-                    j = np.arange(i + 1, top)
-                    j = j[(part[j] != part[i]) & ((asks[j] | asks[i]) > 0)]
-                    if len(j):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ident[j], ident[i])), pa.array(np.maximum(ident[j], ident[i]))], ["a", "b"])
+            left, right, n = [], [], 0
+            for i in np.flatnonzero(asks).tolist():
+                run = int(np.searchsorted(cut, i, side="right"))
+                lo, hi = int(cut[run - 1]), int(cut[run])
+                low = lo + int(np.searchsorted(size[lo:hi], size[i]))
+                top = lo + int(np.searchsorted(size[lo:hi], size[i] * t.denominator // t.numerator, side="right"))
+                j = np.flatnonzero(part[low:top] != part[i]) + low
+                left.append(ident[np.minimum(i, j)])
+                right.append(ident[np.maximum(i, j)])
+                n += len(j)
+                if n > 1 << 15:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+                    left, right, n = [], [], 0
+            if n:
+                pairs = np.unique(np.stack((np.concatenate(left), np.concatenate(right))), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
         for batch in batches:
             rows = [np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))) for c, h in enumerate(held)]
@@ -345,20 +366,31 @@ def describe(docs: DataFrame, k: int, one_in: int) -> DataFrame:
     return docs.mapInArrow(task, "id long, n long, k1 long, k2 long")
 
 
+KEY, ELEMENT, COUNT = 0, 1, 2
+
+
 def _asked(docs: DataFrame, k: int, plan: Plan, frequent) -> DataFrame:
-    """Rows (element, value): keys that sets ask for beyond their exact subsets, and those sets' elements."""
+    """Rows (kind, value, n): KEY, a key that a set asks for beyond its exact subsets; ELEMENT, an
+    element of such a set; COUNT, of every other set its id and its filled segments."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches):
-            for s in shingle_sets(texts, k):
+        for batch, texts in slices(batches):
+            kinds, values, counts = [], [], []
+            for ident, s in zip(_ids(batch).tolist(), shingle_sets(texts, k), strict=True):
                 if not len(s):
                     continue
-                keys = asked_keys(s, frequent.value, plan, len(fine_keys(s, frequent.value, plan, plan.band(len(s)))))
-                if keys is not None:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.arange(len(keys) + len(s)) >= len(keys)), _long(np.concatenate((keys, s)))], ["element", "value"])
+                n = len(fine_keys(s, frequent.value, plan, plan.band(len(s))))
+                keys = asked_keys(s, frequent.value, plan, n)
+                found = [(COUNT, np.array([ident], np.uint64), n)] if keys is None else [(KEY, keys, 0), (ELEMENT, s, 0)]
+                for kind, value, n in found:
+                    kinds.append(np.full(len(value), kind, np.int32))
+                    values.append(value)
+                    counts.append(np.full(len(value), n, np.int64))
+            if kinds:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(kinds)), _long(np.concatenate(values)), pa.array(np.concatenate(counts))], ["kind", "value", "n"])
 
-    return docs.mapInArrow(task, "element boolean, value long")
+    return docs.mapInArrow(task, "kind int, value long, n long")
 
 
 def _filed(docs: DataFrame, k: int, plan: Plan, frequent, wanted) -> DataFrame:
@@ -404,28 +436,79 @@ def _filed(docs: DataFrame, k: int, plan: Plan, frequent, wanted) -> DataFrame:
     return docs.mapInArrow(task, "key long, size long, id long, asks long")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, t: Fraction) -> DataFrame:
-    """The pairs (a, b) whose sets really are that similar."""
+def _among_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with the (written) ids; texts are not shuffled while the ids are few."""
+    return docs.join(F.broadcast(ids) if ids.count() <= MAX_IDS else ids, "id", "left_semi")
 
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_ids(batch)), pa.array([s.tobytes() for s in shingle_sets(texts, k)], pa.binary())], ["id", "s"])
 
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(t: Fraction, kind: np.dtype, slack: int):
+    """Task over rows (id, hub, s), a set and then its hubs' sets: (a, b, sure) of the similar pairs.
+
+    Short values can only overstate what is shared: fewer than needed is
+    certain, and so is more than ``slack`` above it.
+    """
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ident, own = None, np.zeros(0, kind)
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = int(_among(x, y).sum()) if len(y) else 0
-                keep.append(both * t.denominator >= t.numerator * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            made = []
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for i, hub, data in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
+                    s = np.frombuffer(data, kind)
+                    if hub is None:
+                        ident, own = i, s
+                    elif i == ident:
+                        both = len(s) + len(own) - len(np.union1d(s, own)) if slack == 0 else _shared(s, own)
+                        over = both * (t.denominator + t.numerator) - t.numerator * (len(s) + len(own))
+                        if over >= 0:
+                            made.append((hub, i, over >= slack * (t.denominator + t.numerator)))
+            columns = list(zip(*made, strict=True)) if made else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.bool_())], ["a", "b", "sure"])
+
+    return task
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Values in common, each as often as it is in both; both are sorted."""
+    merged = np.concatenate((x, y))
+    order = np.argsort(merged, kind="stable")
+    merged, left = merged[order], order < len(x)
+    cut = np.flatnonzero(np.concatenate(([True], merged[1:] != merged[:-1])))
+    n_left = np.add.reduceat(left.astype(np.int64), cut)
+    n_all = np.diff(np.append(cut, len(merged)))
+    return int(np.minimum(n_left, n_all - n_left).sum())
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, k: int, t: Fraction) -> DataFrame:
+    """The pairs (a, b) whose sets really are that similar.
+
+    The sets meet at b, streamed: b's own, then those of its partners.  They
+    travel as the upper 32 bits of their hashes; pairs so close to the threshold
+    that a chance agreement of those could matter are compared again in full.
+    """
 
-    needed = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed")
-    known = materialize(docs.join(needed, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, s binary"), "sets").dropDuplicates(["id"])
-    left, right = known.select(F.col("id").alias("a"), F.col("s").alias("x")), known.select(F.col("id").alias("b"), F.col("s").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return materialize(both.mapInArrow(compare, "a long, b long"), "links")
+    def similar(pairs: DataFrame, kind: np.dtype, slack: int) -> DataFrame:
+        def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, texts in slices(batches):
+                found = shingle_sets(texts, k)
+                if slack:
+                    found = [(s >> _U(32)).astype(kind) for s in found]
+                yield pa.RecordBatch.from_arrays([pa.array(_ids(batch)), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "s"])
+
+        needed = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed")
+        known = materialize(_among_ids(docs, needed).select("id", "text").mapInArrow(sets, "id long, s binary"), "sets")
+        sent = pairs.join(known.withColumnRenamed("id", "a"), "a").select(F.col("b").alias("id"), F.col("a").alias("hub"), "s")
+        own = known.join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_semi").select("id", F.lit(None).cast("long").alias("hub"), "s")
+        met = own.union(sent).repartition("id").sortWithinPartitions("id", "hub")
+        return materialize(met.mapInArrow(_compare(t, kind, slack), "a long, b long, sure boolean").distinct(), "similar")
+
+    first = similar(pairs, np.dtype(np.uint32), 3)
+    close = first.filter("not sure").select("a", "b")
+    sure = first.filter("sure").select("a", "b")
+    if close.isEmpty():
+        return sure
+    return sure.union(similar(close, np.dtype(np.uint64), 0).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -448,22 +531,36 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     alone = source.join(materialize(member.filter("id <> rep").select("id"), "copies"), "id", "left_anti").select("id", "text")
     asked = materialize(_asked(alone, shingle, plan, frequent).distinct(), "asked")
     wanted = None
-    if asked.count() <= max_keys:
+    if asked.filter(F.col("kind") != COUNT).count() <= max_keys:
         wanted = spark.sparkContext.broadcast(tuple(
-            np.sort(asked.filter(F.col("element") == of).select("value").toArrow().column(0).to_numpy().view(np.uint64)) for of in (False, True)))
+            np.sort(asked.filter(F.col("kind") == kind).select("value").toArrow().column(0).to_numpy().view(np.uint64)) for kind in (KEY, ELEMENT)))
     rows = _filed(alone, shingle, plan, frequent, wanted)
     dealt = rows.repartition("key").sortWithinPartitions("key", "size", "id")
-    found = materialize(dealt.mapInArrow(_stream_pairs(plan.t), "key long, a long, b long"), "found")
-    pairs = materialize(found.filter("key is null").select("a", "b").distinct(), "pairs")
+    found = materialize(dealt.mapInArrow(_stream_pairs(plan.t), "key long, a long, b long, met long"), "found")
+    met = found.filter("key is null").groupBy("a", "b").agg(F.sum("met").alias("met"))
+    members = found.filter("key is not null").select("key", F.col("a").alias("id"), F.shiftright("b", 1).alias("size"), F.col("b").bitwiseAND(1).alias("asks")).distinct()
+    # of each set: its size, its filled segments (null if it asked for more), its long runs
+    sizes = materialize(
+        member.filter("id = rep").select("id", "n")
+        .join(asked.filter(F.col("kind") == COUNT).select(F.col("value").alias("id"), F.col("n").alias("filled")), "id", "left")
+        .join(members.groupBy("id").agg(F.count("*").alias("runs")), "id", "left").na.fill(0, ["runs"]), "sizes")
+    left, right = (sizes.select(F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "filled", "runs"))) for x in ("a", "b"))
+    num, den = plan.t.numerator, plan.t.denominator
+    differ = F.floor((F.col("n_a") + F.col("n_b")) * (den - num) / (den + num) + 1e-9)
+    enough = F.col("filled_a").isNull() | (F.col("met") + F.least("runs_a", "runs_b") >= F.col("filled_a") - differ)
+    pairs = materialize(met.join(left, "a").join(right, "b").filter(enough).select("a", "b"), "pairs")
     links = _verified(alone, pairs, shingle, plan.t)
     parts = materialize(components(links), "parts")
 
-    # what is left to compare: sets of one long run in different components
-    long = found.filter("key is not null").select("key", F.col("a").alias("id"), F.shiftright("b", 1).alias("size"), F.col("b").bitwiseAND(1).alias("asks")).distinct()
-    long = long.join(parts.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # what is left to compare: sets of one long run in different components that may still share enough
+    may = F.col("filled").isNull() | (F.col("runs") >= F.col("filled") - F.floor(F.col("n") * (den - num) / num + 1e-9))
+    long = (
+        members.drop("asks").join(sizes.select("id", may.cast("long").alias("asks")), "id")
+        .join(parts.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    )
     long = materialize(long, "runs")
-    mixed = long.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    crossing = long.join(mixed, "key", "left_semi").select("key", "size", "id", "asks", "component")
+    mixed = long.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("asks").alias("any")).filter("lo < hi and any > 0")
+    crossing = long.join(mixed.select("key"), "key", "left_semi").select("key", "size", "id", "asks", "component")
     crossing = crossing.repartition("key").sortWithinPartitions("key", "size", "id").mapInArrow(_stream_crossing(plan.t), "a long, b long")
     more = materialize(crossing.distinct().join(pairs, ["a", "b"], "left_anti"), "crossing")
     if not more.isEmpty():

@@ -28,7 +28,7 @@ CACHE_ENTRIES = 300_000
 #: Words longer than this are not cached.
 CACHE_WORD_BYTES = 64
 #: Text that a task works on at once; a longer text is a slice of its own.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 
 def plain_words(text: bytes) -> list[bytes]:
