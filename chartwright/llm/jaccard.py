@@ -29,9 +29,12 @@ must add up to more than H.
 
 **Buckets.**  A key's sets arrive sorted by size in one stream, cut into runs
 without being held.  Short runs give all their pairs.  A long run gives pairs
-with its first set; after these are verified and joined into components, only
-pairs of a run in different components are left, and these are all compared.  So
-a family of near copies costs a few pairs each, and no link between different
+with its first set and with the one before; after these are verified and joined
+into components, only pairs of a run in different components are left.  Of these
+go on all whose sketches allow it: a sketch holds the parity of the elements
+that fall on each of SKETCH_BITS bits, so two sketches differ in no more bits
+than the sets do in elements, and more than H bits rule a pair out for certain.
+So a family of near copies costs a few pairs each, and no link between different
 components is lost.
 
 **Counting.**  The pigeonhole counts: if x has N segments and differs from y in
@@ -75,6 +78,8 @@ MAX_KEYS = 6_000_000
 SHORT_RUN = 16
 #: Ids of documents that are handed to the tasks as a broadcast table (16 bytes each); more are joined.
 MAX_IDS = 500_000
+#: Bits of the parity sketch by which long runs rule pairs out.
+SKETCH_BITS = 1024
 _U = np.uint64
 
 
@@ -254,7 +259,7 @@ def _pairs_of(key: np.ndarray, ident: np.ndarray, size: np.ndarray, asks: np.nda
     left, right = [], []
     for d in range(1, SHORT_RUN):
         i = np.arange(n - d)
-        ok = (key[:-d] == key[d:]) & (run[:-d] <= SHORT_RUN) if n > d else np.zeros(0, bool)
+        ok = (key[:-d] == key[d:]) & ((d == 1) | (run[:-d] <= SHORT_RUN)) if n > d else np.zeros(0, bool)
         left.append(i[ok])
         right.append(i[ok] + d)
     star = np.flatnonzero((run > SHORT_RUN) & (np.arange(n) > first))
@@ -303,40 +308,57 @@ def _stream_pairs(t: Fraction):
     return task
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the elements on each bit."""
+    hits = np.bincount((mix(s) % _U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((hits & 1).astype(np.uint8)).tobytes()
+
+
+def _sketches(docs: DataFrame, k: int) -> DataFrame:
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            made = [sketch(s) for s in shingle_sets(texts, k)]
+            yield pa.RecordBatch.from_arrays([pa.array(_ids(batch)), pa.array(made, pa.binary())], ["id", "sketch"])
+
+    return docs.mapInArrow(task, "id long, sketch binary")
+
+
 def _stream_crossing(t: Fraction):
-    """Task over rows (key, size, id, asks, component) sorted by key and size: the pairs of a key in
-    different components of which the smaller set asks, or either where both are of one size."""
+    """Task over rows (key, size, id, asks, component, sketch) sorted by key and size: the pairs of a key in
+    different components of which the smaller set asks, or either where both are of one size, and whose
+    sketches differ in few enough bits."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 5
+        held_bits = np.zeros((0, SKETCH_BITS // 64), np.uint64)
 
-        def out(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        def out(rows: list[np.ndarray], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
             key, size, ident, asks, part = rows
             cut = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
-            left, right, n = [], [], 0
+            left, right = [], []
             for i in np.flatnonzero(asks).tolist():
                 run = int(np.searchsorted(cut, i, side="right"))
                 lo, hi = int(cut[run - 1]), int(cut[run])
                 low = lo + int(np.searchsorted(size[lo:hi], size[i]))
                 top = lo + int(np.searchsorted(size[lo:hi], size[i] * t.denominator // t.numerator, side="right"))
                 j = np.flatnonzero(part[low:top] != part[i]) + low
+                most = (size[j] + size[i]) * (t.denominator - t.numerator) // (t.denominator + t.numerator)
+                j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(1) <= most]
                 left.append(ident[np.minimum(i, j)])
                 right.append(ident[np.maximum(i, j)])
-                n += len(j)
-                if n > 1 << 15:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
-                    left, right, n = [], [], 0
-            if n:
+            if left:
                 pairs = np.unique(np.stack((np.concatenate(left), np.concatenate(right))), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
         for batch in batches:
             rows = [np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))) for c, h in enumerate(held)]
+            new = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+            bits = np.concatenate((held_bits, new))
             start = int(np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))[-1])
-            yield from out([r[:start] for r in rows])
-            held = [r[start:] for r in rows]
+            yield from out([r[:start] for r in rows], bits[:start])
+            held, held_bits = [r[start:] for r in rows], bits[start:]
         if len(held[0]):
-            yield from out(held)
+            yield from out(held, held_bits)
 
     return task
 
@@ -555,12 +577,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # what is left to compare: sets of one long run in different components that may still share enough
     may = F.col("filled").isNull() | (F.col("runs") >= F.col("filled") - F.floor(F.col("n") * (den - num) / num + 1e-9))
     long = (
-        members.drop("asks").join(sizes.select("id", may.cast("long").alias("asks")), "id")
+        members.join(sizes.select("id", F.col("filled").isNull().alias("asker"), may.alias("may")), "id")
+        .withColumn("asks", F.when(F.col("asker"), F.col("asks")).otherwise(F.col("may").cast("long")))
         .join(parts.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     )
-    long = materialize(long, "runs")
+    long = materialize(long.select("key", "size", "id", "asks", "component"), "runs")
     mixed = long.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("asks").alias("any")).filter("lo < hi and any > 0")
-    crossing = long.join(mixed.select("key"), "key", "left_semi").select("key", "size", "id", "asks", "component")
+    crossing = materialize(long.join(mixed.select("key"), "key", "left_semi"), "mixed")
+    drawn = _sketches(_among_ids(alone, materialize(crossing.select("id").distinct(), "mixed-ids")).select("id", "text"), shingle)
+    crossing = crossing.join(drawn, "id").select("key", "size", "id", "asks", "component", "sketch")
     crossing = crossing.repartition("key").sortWithinPartitions("key", "size", "id").mapInArrow(_stream_crossing(plan.t), "a long, b long")
     more = materialize(crossing.distinct().join(pairs, ["a", "b"], "left_anti"), "crossing")
     if not more.isEmpty():
