@@ -292,7 +292,7 @@ def test_quality_verdicts(spark):
     prose = " ".join("the story of a small town by the sea and of those who lived there in the years after the war".split() * 1)
     texts = [
         (1, "Once upon a time there was a small town by the sea. Those who lived there caught fish, mended nets and told each other long stories in the evening, when the boats were back and the lamps were lit along the quay."),
-        (2, " ".join("### $$$ %%% &&& *** ||| <<< >>>".split() * 6 + words_of(draw, 4))),
+        (2, " ".join(w + 3 * draw.choice("#$%&*|<>") for w in words_of(draw, 60))),
         (3, " ".join("".join(draw.choice("qxzjkvwpy0123456789") for _ in range(30)) for _ in range(30))),
         (4, " ".join("".join(chr(draw.randrange(0x10400, 0x10450)) for _ in range(8)) for _ in range(40))),
         (5, prose),
