@@ -12,7 +12,8 @@ can gain by turning them); max-flow runs over the rest.
 
 Defined cases: a null or empty page, or one without content, gives an empty
 text.  Malformed markup is read as browsers do where that is simple: unclosed
-elements end with their parents, stray end tags are ignored.  Repeated rows give
+elements end with their parents, stray end tags are ignored, a script, style,
+textarea or title that nothing closes goes on to the end of the page.  Repeated rows give
 repeated results.  Only id, url and html are read.
 """
 
@@ -32,7 +33,6 @@ from chartwright.llm.words import slices
 _ATTRS = r"(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(script|style|noscript|template|iframe|noembed|noframes|textarea|title|svg|math|select|object|xmp)\b{_ATTRS}>.*?(?:</\1\s*>|\Z)"
     rf"|<(/?)([a-z][^\s/>]*)({_ATTRS})>"
     r"|<(/?)([a-z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>",
@@ -42,6 +42,11 @@ _HINT = re.compile(r"\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*
 _PART = re.compile(r"[a-z]+")
 
 # Element names.
+#: Elements whose inside is no text of the page.
+SKIPPED = frozenset("script style noscript template iframe noembed noframes textarea title svg math select object xmp".split())
+#: Of these, those that run to the end of the page when nothing closes them.
+RAW = frozenset("script style textarea title".split())
+_CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in SKIPPED}
 BLOCKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure"
     " footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search"
@@ -146,15 +151,26 @@ def blocks(page: str) -> list[Block]:
             if links:
                 block.linked += len(piece)
 
-    for token in _TOKEN.finditer(page):
+    open_ended: set[str] = set()  # nothing closes these from here on
+    while token := _TOKEN.search(page, at):
         text(page[at : token.start()])
         at = token.end()
-        raw, end, name, attrs, end2, name2, attrs2 = token.groups()
-        if raw is not None or (name is None and name2 is None):
+        end, name, attrs, end2, name2, attrs2 = token.groups()
+        if name is None and name2 is None:
             continue
         if name is None:
             end, name, attrs = end2, name2, attrs2
         name = name.lower()
+        if name in SKIPPED and not end and name not in open_ended:
+            if name in ("svg", "math") and attrs.endswith("/"):
+                continue
+            if close := _CLOSING[name].search(page, at):
+                at = close.end()
+                continue
+            if name in RAW:
+                at = len(page)
+                break
+            open_ended.add(name)
         breaks = name in BLOCKS
         if breaks:
             block = None

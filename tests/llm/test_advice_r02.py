@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
 
-from chartwright.llm import passages
+from chartwright.llm import extract, passages
 
 
 def words_of(draw, n):
@@ -55,3 +56,27 @@ def test_an_anchor_is_split_where_its_words_differ():
     y = x.copy()
     y[60:76] += np.uint64(1000)
     assert passages.align(x, 0, y, 0, [0, 0, 136]) == [(0, 60, 0, 60, 60), (76, 136, 76, 136, 60)]
+
+
+# -- op5_html_extraction: tags that end the page -------------------------------
+STORY = "This paragraph tells a long enough story of the day, with many plain words in a row, so that it is the article."
+
+
+@pytest.mark.parametrize("tag", [
+    "<svg/>", "<svg class='icon' viewBox=\"0 0 1 > 1\" />", "<math/>", "<title-bar>x</title-bar>", "<select-box></select-box>",
+    "<object-view a=1></object-view>", "<svg-icon></svg-icon>", "<script-host></script-host>", "<object data='x'>", "<select><option>1",
+    "<svg><path d='M0'></svg>", "<svg><title>icon</title></svg >", "<script>var a = '<p>no</p>';</script\n>", "<STYLE>p {}</Style>",
+])
+def test_a_tag_does_not_take_the_rest_of_the_page(tag):
+    text = extract.main_text(f"<html><body><article><p>First. {STORY}</p>{tag}<p>Last. {STORY}</p></article></body></html>")[0]
+    assert f"First. {STORY}" in text and f"Last. {STORY}" in text
+    assert "icon" not in text and "no" not in text.split() and "{}" not in text
+
+
+def test_raw_text_goes_on_to_the_end_and_many_open_tags_are_quick():
+    for name in ("script", "style", "textarea", "title"):
+        assert extract.main_text(f"<article><p>{STORY}</p><{name}><p>{STORY}</p>")[0] == STORY
+    page = "<article>" + "<object><select>" * 2_000 + f"<p>{STORY}</p>" + "x " * 500_000
+    start = time.process_time()
+    assert STORY in extract.main_text(page)[0]
+    assert time.process_time() - start < 20
