@@ -2,7 +2,9 @@
 
 A page is cut into blocks of text at block-level tags.  A linear classifier
 gives each block a score from its tags, its ancestors' class and id words, its
-link density and its wording; the score becomes the capacity of its edge to the
+link density and its wording (a word that marks the wrapper of most of the
+page's text costs little, and an article or main element below a wrapper named
+for its layout starts anew); the score becomes the capacity of its edge to the
 content terminal or to the boilerplate terminal.  Neighbouring blocks, and
 blocks close in the document tree, are joined by smoothness edges, the heavier
 the closer their parents.  The minimum cut of that graph labels all blocks at
@@ -70,6 +72,14 @@ BOILERPLATE_WORDS = frozenset(
     " sharing social follow copyright legal disclaimer search form pagination pager tags taglist skip hidden toc outbrain taboola"
     " contentinfo complementary rail teaser teasers byline meta".split()
 )
+#: Tags and words that also name the layout of a wrapper around the whole; the others name what is never the article.
+LAYOUT_TAGS = frozenset("form fieldset label search".split())
+LAYOUT_WORDS = frozenset(
+    "alert banner notice notices overlay menu nav navbar navigation breadcrumb breadcrumbs sidebar sidebars side aside widget widgets"
+    " footer foot header masthead topbar toolbar follow search form pagination pager tags skip toc rail byline meta".split()
+)
+#: A class such as has-sidebar tells what an element has or lacks, not what it is.
+HAVING = frozenset("has have having with no not without".split())
 CONTENT_WORDS = frozenset("article articlebody content contents main post posts entry story text body prose maincontent".split())
 NOTICE = re.compile(
     r"\bcookies?\b|\bsubscribe\b|\bnewsletter\b|\badvertisement\b|\bsponsored\b|\ball rights reserved\b|\bprivacy policy\b"
@@ -84,6 +94,7 @@ class Weights:
 
     bias: float = -0.5
     boilerplate: float = -12.0
+    wide_wrapper: float = -1.0
     inside_content: float = 5.0
     paragraph: float = 1.5
     heading: float = 0.5
@@ -103,8 +114,13 @@ class Element:
     name: str
     parent: Element | None
     depth: int
-    boilerplate: bool
+    mark: int  # what its own tag and words say: 0, LAYOUT, FOREIGN or FIXED
+    words: bool  # whether a class or id word speaks against it
+    own: bool  # whether its own tag or words speak for content
     content: bool
+    chars: int = 0  # text outside links
+    boilerplate: int = 0  # the mark that holds here
+    wrapped: bool = False  # below a marked element that holds most of the page
 
 
 @dataclass(slots=True)
@@ -115,27 +131,67 @@ class Block:
     text: str = ""
 
 
+#: Marks: a word or tag that may name a layout, one that may not, and what nothing below can lift.
+LAYOUT, FOREIGN, FIXED = 1, 2, 3
+
+
 def _element(name: str, attrs: str, parent: Element | None) -> Element:
-    bad = name in BOILERPLATE_TAGS
-    good = name in ("article", "main")
+    mark = LAYOUT if name in LAYOUT_TAGS else FIXED if name in BOILERPLATE_TAGS else 0
+    good, words = name in ("article", "main"), False
     if attrs and not attrs.isspace():
         for key, value in _HINT.findall(attrs):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id", "role", "itemprop"):
-                parts = set(_PART.findall(value))
-                good = good or not parts.isdisjoint(CONTENT_WORDS)
-                bad = bad or not parts.isdisjoint(BOILERPLATE_WORDS) and name not in ("body", "html", "article", "main")
+                good = good or not CONTENT_WORDS.isdisjoint(_PART.findall(value))
+                if not BOILERPLATE_WORDS.isdisjoint(_PART.findall(value)):
+                    parts = {x for v in value.split() if HAVING.isdisjoint(own := _PART.findall(v)) for x in own} & BOILERPLATE_WORDS
+                    words = words or bool(parts)
+                    if parts and name not in ("body", "html", "article", "main"):
+                        mark = max(mark, LAYOUT if parts <= LAYOUT_WORDS else FOREIGN)
             elif key == "style":
-                bad = bad or "display:none" in value.replace(" ", "")
-            else:
-                bad = bad or value != "false"
-    return Element(name, parent, parent.depth + 1 if parent else 0, bad or bool(parent and parent.boilerplate), good or bool(parent and parent.content))
+                mark = FIXED if "display:none" in value.replace(" ", "") else mark
+            elif value != "false":
+                mark = FIXED
+    return Element(name, parent, parent.depth + 1 if parent else 0, mark, words, good, good or bool(parent and parent.content))
+
+
+#: Shares of the page's text outside links from which a wrapper is the page's, by its mark, and a content element the article.
+WIDE = {LAYOUT: 0.5, FOREIGN: 0.9}
+ARTICLE = 0.25
+
+
+def _settle(found: list[Block]) -> None:
+    """Which marks hold below which elements, once the page's text is known."""
+    seen: dict[int, Element] = {}
+    total = 0
+    for block in found:
+        n = max(0, len(block.text) - block.linked)
+        total += n
+        e = block.parent
+        e.chars += n
+        while e is not None and id(e) not in seen:
+            seen[id(e)] = e
+            e = e.parent
+    order = sorted(seen.values(), key=lambda e: e.depth)
+    for e in reversed(order):
+        if e.parent:
+            e.parent.chars += e.chars
+    for e in order:
+        above = e.parent.boilerplate if e.parent else 0
+        if above and above < FIXED and not e.words and e.own:
+            if e.name == "main" or above == LAYOUT and (e.name == "article" or e.chars >= ARTICLE * total):
+                above = 0
+        e.wrapped = bool(e.parent and e.parent.wrapped)
+        own = e.mark
+        if own in WIDE and total and e.chars >= WIDE[own] * total:
+            own, e.wrapped = 0, True
+        e.boilerplate = max(above, own)
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text in page order, with white space made single."""
     found: list[Block] = []
-    stack = [Element("", None, 0, False, False)]
+    stack = [Element("", None, 0, 0, False, False, False)]
     block: Block | None = None
     links = at = 0
 
@@ -208,7 +264,9 @@ def blocks(page: str) -> list[Block]:
     text(page[at:])
     for b in found:
         b.text = " ".join(unescape("".join(b.pieces)).split())
-    return [b for b in found if b.text]
+    found = [b for b in found if b.text]
+    _settle(found)
+    return found
 
 
 def score(block: Block, w: Weights) -> float:
@@ -219,6 +277,8 @@ def score(block: Block, w: Weights) -> float:
     s = w.bias
     if parent.boilerplate:
         s += w.boilerplate
+    elif parent.wrapped:
+        s += w.wide_wrapper
     if parent.content:
         s += w.inside_content
     if own.name in ("p", "pre", "blockquote"):

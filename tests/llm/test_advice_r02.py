@@ -80,3 +80,27 @@ def test_raw_text_goes_on_to_the_end_and_many_open_tags_are_quick():
     start = time.process_time()
     assert STORY in extract.main_text(page)[0]
     assert time.process_time() - start < 20
+
+
+# -- op5_html_extraction: wrappers named like boilerplate ------------------------
+COMMENT = "I really liked this long story, thank you for writing it down for all of us here."
+
+
+@pytest.mark.parametrize("wrapper", [
+    "div class='layout has-sidebar'", "div class='content-with-sidebar'", "div class='no-comments'", "form", "form id='aspnetForm'",
+    "div class='sidebar-right'", "div id='page' class='header-fixed'", "div class='widgets-layout'", "section class='site comments-open'",
+])
+@pytest.mark.parametrize("inside", ["article", "main", "div class='post-content'", "div"])
+def test_a_wrapper_does_not_empty_the_page(wrapper, inside):
+    story = " ".join(f"<p>{i}. {STORY}</p>" for i in range(6))
+    page = (f"<html><body><{wrapper}><nav><a href='/'>Home</a> <a href='/a'>All stories</a></nav><{inside}>{story}</{inside.split()[0]}>"
+            f"<div class='sidebar'><div class='content'><p>{COMMENT}</p></div></div><footer><p>{COMMENT}</p></footer></{wrapper.split()[0]}></body></html>")
+    assert extract.main_text(page)[0] == " ".join(f"{i}. {STORY}" for i in range(6))
+
+
+def test_an_article_below_a_smaller_wrapper_and_comments():
+    comments = "".join(f"<article class='comment'><div class='text'><p>{i}. {COMMENT}</p></div></article>" for i in range(12))
+    page = (f"<body><div class='toolbar-layout'><article><p>1. {STORY}</p><p>2. {STORY}</p></article></div>"
+            f"<section id='comments'>{comments}</section><aside><article><p>{STORY}</p></article></aside>"
+            f"<div class='related'><article><p>{STORY}</p></article></div><div style='display: none'><main><p>{STORY}</p></main></div></body>")
+    assert extract.main_text(page)[0] == f"1. {STORY} 2. {STORY}"
