@@ -104,3 +104,15 @@ def test_an_article_below_a_smaller_wrapper_and_comments():
             f"<section id='comments'>{comments}</section><aside><article><p>{STORY}</p></article></aside>"
             f"<div class='related'><article><p>{STORY}</p></article></div><div style='display: none'><main><p>{STORY}</p></main></div></body>")
     assert extract.main_text(page)[0] == f"1. {STORY} 2. {STORY}"
+
+
+# -- op3_substring_dedup: partners and seeds -----------------------------------
+def test_edited_passages(spark):
+    draw, texts, n = random.Random(9), {}, 100
+    for i in range(n):
+        one = words_of(draw, 60)
+        texts[2 * i] = words_of(draw, 50) + one + words_of(draw, 50)
+        at = set(draw.sample(range(60), 6))
+        texts[2 * i + 1] = words_of(draw, 70) + [words_of(draw, 1)[0] if j in at else w for j, w in enumerate(one)] + words_of(draw, 50)
+    found = {r["id"] for r in passages.passages(frame(spark, texts)).collect() if r["target"] == r["id"] - 1}
+    assert len(found) >= 0.95 * n
