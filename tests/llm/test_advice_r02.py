@@ -107,6 +107,16 @@ def test_an_article_below_a_smaller_wrapper_and_comments():
 
 
 # -- op3_substring_dedup: partners and seeds -----------------------------------
+def test_a_passage_made_of_frequent_lines(spark):
+    draw = random.Random(7)
+    one, two = words_of(draw, 30), words_of(draw, 30)
+    alone = lambda line: words_of(draw, 40) + line + words_of(draw, 40)
+    texts = {0: alone(one), 1: alone(two), 2: alone(one), 3: alone(two), 10: words_of(draw, 20) + one + two + words_of(draw, 50),
+             11: alone(one), 12: alone(two), 13: alone(two), 14: alone(one), 20: words_of(draw, 70) + one + two + words_of(draw, 9)}
+    found = [(r["id"], r["target"], r["start"], r["end"], r["target_start"], r["target_end"]) for r in passages.passages(frame(spark, texts)).collect()]
+    assert found == [(20, 10, 70, 130, 20, 80)]
+
+
 def test_edited_passages(spark):
     draw, texts, n = random.Random(9), {}, 100
     for i in range(n):
