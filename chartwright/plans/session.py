@@ -13,6 +13,7 @@ import re
 import shutil
 import tempfile
 import uuid
+import weakref
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,6 +90,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _stages: list[list[str]] = []
+_stage_of: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -121,4 +123,14 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     if _stages:
         _stages[-1].append(path)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    staged = spark.read.parquet(path)
+    _stage_of[id(staged)] = (weakref.ref(staged), path)
+    return staged
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a stage after its last reader; the frame must be the one that ``materialize`` returned."""
+    held, path = _stage_of.pop(id(staged))
+    if held() is not staged:
+        raise ScratchError("not a stage")
+    remove(staged.sparkSession, path)
