@@ -73,9 +73,89 @@ SELECT page_id, payload_bytes, sha256(h) AS payload_digest,
 FROM s
 """
 
+# every anchor against every row; negatives of each positive's window
+OP12 = """
+WITH v AS (
+  SELECT vec_id, min(struct_pack(l := label, e := embedding)) AS s
+  FROM (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS embedding FROM embeddings)
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY 1),
+r AS (SELECT vec_id, s.l AS label, list_transform(s.e, lambda x: floor(256 * x)) AS q FROM v),
+p AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM p WHERE alike) WHERE k <= 5),
+neg AS (
+  SELECT pos.anchor_id, pos.id AS positive_id, p.id AS negative_id, pos.score AS positive_score, p.score AS negative_score,
+    row_number() OVER (PARTITION BY pos.anchor_id, pos.id ORDER BY p.score DESC, p.id) AS rank
+  FROM pos JOIN p ON p.anchor_id = pos.anchor_id AND NOT p.alike AND 50 * pos.score <= 100 * p.score AND 100 * p.score <= 95 * pos.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
+
+def _merkle(levels: int = 8) -> str:
+    """Every level of the trees written out, and every leaf's path folded level by level; enough for 8 ** levels leaves a group."""
+    size = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}) || ':' || {c} END"
+    leaf = lambda text: "sha256(" + " || ".join(size(c) for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    sql = f"""
+WITH bits AS (SELECT unnest(generate_series(0, 255)) AS b, 0 AS x),
+crc AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(CAST(b AS BIGINT), CAST(generate_series(1, 8) AS BIGINT[])),
+      lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM bits)),
+d AS (
+  SELECT *, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda c, s: xor(c >> 8, t[CAST(xor(c, s) & 255 AS INTEGER) + 1])) AS raw FROM documents, crc),
+l AS (
+  SELECT doc_id, lang, {leaf("text")} AS leaf,
+    CASE WHEN xor(raw, 4294967295) % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS changed FROM d),
+t0 AS (
+  SELECT lang AS g, CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS p, leaf AS h,
+    CAST(count(*) OVER (PARTITION BY lang) AS BIGINT) AS n, doc_id, changed FROM l)"""
+    for tree in ("t", "u"):
+        if tree == "u":
+            sql += f""",
+u0 AS (SELECT 1 AS g, CAST(row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS BIGINT) AS p, h, CAST(count(*) OVER () AS BIGINT) AS n, g AS lang FROM t{levels})"""
+        for k in range(1, levels + 1):
+            sql += f""",
+{tree}{k} AS (
+  SELECT g, CASE WHEN n = 1 THEN p ELSE p // 8 END AS p, CASE WHEN max(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h,
+    CASE WHEN n = 1 THEN 1 ELSE (n + 7) // 8 END AS n FROM {tree}{k - 1} GROUP BY g, n, 2)"""
+    # the path of each leaf: own place, proof so far, digest so far
+    sql += """,
+w0 AS (SELECT doc_id, g, p, h AS leaf, changed AS f, '' AS proof, row_number() OVER () AS id FROM t0)"""
+    at = "w0"
+    for tree in ("t", "u"):
+        if tree == "u":
+            sql += f""",
+v0 AS (SELECT w.* REPLACE (1 AS g, u0.p AS p), w.g AS lang, u0.h AS subroot FROM {at} w JOIN u0 ON u0.lang IS NOT DISTINCT FROM w.g)"""
+            at = "v0"
+        name = "w" if tree == "t" else "v"
+        for k in range(levels):
+            sql += f""",
+{name}r{k} AS (SELECT g, p // 8 AS run, list(h ORDER BY p) AS hs, any_value(n) AS n FROM {tree}{k} GROUP BY 1, 2),
+{name}{k + 1} AS (
+  SELECT w.* REPLACE (CASE WHEN r.n = 1 THEN w.p ELSE w.p // 8 END AS p,
+    CASE WHEN r.n = 1 THEN f ELSE sha256(array_to_string(hs[1 : p % 8], '') || f || array_to_string(hs[p % 8 + 2 :], '')) END AS f,
+    CASE WHEN r.n = 1 THEN proof ELSE proof || array_to_string(hs[1 : p % 8], '') || array_to_string(hs[p % 8 + 2 :], '') END AS proof)
+  FROM {at} w JOIN {name}r{k} r ON r.g IS NOT DISTINCT FROM w.g AND r.run = w.p // 8)"""
+            at = f"{name}{k + 1}"
+    return sql + f"""
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = u.h AS verified
+FROM {at}, (SELECT h FROM u{levels}) u
+"""
+
+
+OP13 = _merkle()
+
 SQL = {
     "op4_decontamination": OP4,
     "op6_jaccard_join": OP6,
     "op8_chat_formatting": OP8,
     "op9_warc": OP9,
+    "op12_hard_negatives": OP12,
+    "op13_merkle_manifest": OP13,
 }

@@ -12,10 +12,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwright.llm import bpe, chat, decontaminate, extract, fertility, jaccard, langid, licenses, oracles, passages, warc
+from chartwright.llm import (
+    bpe, chat, decontaminate, extract, fertility, jaccard, langid, licenses, merkle, negatives, oracles, packing, passages, warc)
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +74,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = packing.Vocabulary(public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN, public_tokenizers.path(BYTE_BPE))
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary)
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("id") % 50 == 0)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = merkle.manifest(docs, tampered, {"text": F.translate("text", merkle.UPPER, merkle.LOWER)})
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -83,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_formatting": op8_chat_formatting,
         "op9_warc": op9_warc,
         "op10_quality_rules": op10_quality_rules,
+        "op11_packing": op11_packing,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
