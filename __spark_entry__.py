@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,23 +20,27 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from chartwright.operators import playlists as P  # noqa: E402
 from chartwright.plans.daily import ALL_MARKETS, FIXTURE_PARAMS, ChartJob, daily_lists, run_daily  # noqa: E402
-from chartwright.plans.session import scratch_path, tune  # noqa: E402
+from chartwright.operators import charts as C  # noqa: E402
+from chartwright.operators import edits as ED  # noqa: E402
+from chartwright.plans.session import materialize, scratch_path, tune  # noqa: E402
+from chartwright.sources import colocated as CO  # noqa: E402
+from chartwright.sources import ledger as LD  # noqa: E402
 from chartwright.sources import files as FS  # noqa: E402
 from chartwright.sources import playlist_store as PS  # noqa: E402
 from chartwright.sources.fixtures import staged_chart_inputs  # noqa: E402
 from chartwright.functions.text import artist_tokens, char_counts, cosine, squared_norm  # noqa: E402
 from chartwright.functions.time import COMPACT_FORMAT, epoch_timestamp, parse_timestamp  # noqa: E402
+from chartwright.streaming.rolling import CoverWindow  # noqa: E402
 from chartwright.streaming.watermark import load_watermark  # noqa: E402
 from dataclasses import replace  # noqa: E402
+from datetime import date  # noqa: E402
 
 import oracle_queries  # noqa: E402
 
-try:  # the training-data operators are a part that can be left out
+try:  # the training-data operators, and what they need, are a part that can be left out
     import corpus_pipeline  # noqa: E402
     from chartwright.llm import queries as llm_queries  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "chartwright.llm", "chartwright.llm.queries"):
-        raise
+except ModuleNotFoundError:
     corpus_pipeline = llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -268,6 +273,112 @@ def q_file_inventory(spark, sf_dir):
     return found.select("path", F.when(F.col("is_file"), "*").otherwise(F.col("filename")).alias("name"), "is_file").distinct()
 
 
+# --- S3, S4: columns bound by name ------------------------------------------
+def _drifting_feed(spark, sf_dir):
+    """The tracks as three deliveries: as they should be, columns in another order and one more, and without a column."""
+    tracks = _job(spark, sf_dir).tracks
+    folder = scratch_path(spark, "feed-csv")
+    names = tracks.columns
+    odd = (F.length("_track_name") + F.length(F.coalesce("segment_name", F.lit("")))) % 3
+    FS.export_csv(tracks.filter(odd == 0), f"{folder}/plain")
+    FS.export_csv(tracks.filter(odd == 1).select(*names[::-1], F.lit("more").alias("comment")), f"{folder}/turned")
+    FS.export_csv(tracks.filter(odd == 2).drop("_primary_genre").withColumn(
+        "segment_streams", F.when(F.col("feed") == "SME", F.col("segment_streams").cast("string")).otherwise("n/a")), f"{folder}/short")
+    return folder
+
+
+def q_csv_by_name(spark, sf_dir):
+    return FS.read_csv_feed(spark, _drifting_feed(spark, sf_dir), T.StructType(
+        [f if f.name != "segment_streams" else T.StructField(f.name, T.StringType()) for f in TRACK_SCHEMA]))
+
+
+def q_csv_drift(spark, sf_dir):
+    """What departs from the schema in each delivery, and how many values."""
+    found = FS.csv_drift(spark, _drifting_feed(spark, sf_dir), TRACK_SCHEMA)
+    delivery = F.regexp_extract("file", r"/(\w+)/[^/]*$", 1)
+    return found.groupBy(delivery.alias("delivery"), "column", "change").agg(F.sum("n").alias("n"))
+
+
+# --- S12: order and pages -----------------------------------------------------
+def _two_days(spark, sf_dir):
+    """The top lists of all markets on two days, as lists of URIs."""
+    days = [_job(spark, sf_dir, markets=ALL_MARKETS, **over).playlists(names=("top",)) for over in ({"day": "1999-01-01"}, {})]
+    return [materialize(d.select("market", "playlist", "position", F.col("_track_uri").alias("track_uri")), "list") for d in days]
+
+
+def q_playlist_edits(spark, sf_dir):
+    """Removals, additions and the fewest moves that turn one day's lists into the next one's."""
+    steps = ED.playlist_edit_script(*_two_days(spark, sf_dir))
+    count = lambda op: F.count(F.when(F.col("op") == op, 1)).alias(f"n_{op}")
+    return steps.groupBy("market", "playlist").agg(count("remove"), count("move"), count("add"))
+
+
+def q_playlist_edit_replay(spark, sf_dir):
+    """The next day's lists, made from the first day's by the script."""
+    old, new = _two_days(spark, sf_dir)
+    return ED.replay_script(old, ED.playlist_edit_script(old, new))
+
+
+def q_playlist_pages(spark, sf_dir):
+    """Every list written in pages of 40 that overlap by 15, and stitched together."""
+    return PS.stitch_pages(PS.list_pages(_job(spark, sf_dir).playlists(), 40, 15))
+
+
+# --- S10, S11: publishing -----------------------------------------------------
+def q_published_lists(spark, sf_dir):
+    """Two versions: every list of one day, then the top list of the next day; read through the commit."""
+    root = scratch_path(spark, "store")
+    for over, names in (({"day": "1999-01-01"}, None), ({}, ("top",))):
+        job = _job(spark, sf_dir, **over)
+        lists = materialize(job.playlists(names=names), "lists")
+        expected = PS.expected_lists(spark, job.params.markets, list(names or [r.name for r in job.rules()]))
+        manifest = materialize(PS.playlist_manifest(lists, expected, job.params.day), "manifest")
+        PS.publish_playlists(lists, P.playlist_batches(lists, job.params.day), manifest, root)
+    days = PS.published(spark, root, "manifest").select("market", "playlist", F.col("as_of").cast("string").alias("as_of"))
+    return PS.published(spark, root).join(days, ["market", "playlist"]).select("market", "playlist", "position", "track_uri", "as_of")
+
+
+def q_batch_replay(spark, sf_dir):
+    """The lists that publishing the batches builds."""
+    job = _job(spark, sf_dir)
+    return ED.replay_batches(materialize(P.playlist_batches(job.playlists(), job.params.day), "batches"))
+
+
+# --- S9: loads that count once --------------------------------------------------
+def q_load_once(spark, sf_dir):
+    """Two loads, the first of them run twice; names cut to 7 bytes, which end inside a character."""
+    tracks = _job(spark, sf_dir).tracks.withColumn("_track_name", F.concat(F.lit("Żółć "), "_track_name"))
+    root = scratch_path(spark, "loads")
+    sources = {feed: FS.export_csv(tracks.filter(F.col("feed") == feed), scratch_path(spark, "load-csv")) for feed in ("SME", "ORCHARD")}
+    for feed in ("SME", "ORCHARD", "SME"):
+        done = LD.load_once(spark, sources[feed], root, TRACK_SCHEMA, f"day-{feed}", {"_track_name": 7})
+    return done.table
+
+
+# --- C5 by daily sums, C4 by place, A7 by found columns -------------------------
+def q_best_cover_rolling(spark, sf_dir):
+    """The covers of seven run dates, each from the last one's state and the days that enter and leave."""
+    i, p = inputs(spark, sf_dir), FIXTURE_PARAMS
+    window = CoverWindow(p.home_market, p.cover_sources, p.cover_days)
+    dates = [date(y, 1, 1) for y in range(1995, 2002)]
+    found = window.backfill(i.streams["SME"].unionByName(i.streams["ORCHARD"]), i.dim_partner, dates)
+    return found.withColumn("run_date", F.col("run_date").cast("string"))
+
+
+def q_segment_streams_colocated(spark, sf_dir):
+    """``segment_streams_sme`` over facts and segments stored by consumer."""
+    job = _job(spark, sf_dir)
+    i, p = job.inputs, job.params
+    mark = uuid.uuid4().hex[:12]
+    facts = CO.store_by_key(i.streams["SME"], f"facts_{mark}", scratch_path(spark, "facts"), 8, partition_by=["report_date"])
+    segments = CO.store_by_key(i.consumer_segments, f"segments_{mark}", scratch_path(spark, "segments"), 8)
+    return C.segment_streams(facts, job.stream_days, p.markets, i.dim_partner, materialize(job.top_sme, "top"), segments)
+
+
+def q_segment_pivot(spark, sf_dir):
+    return C.segment_pivot(_job(spark, sf_dir).tracks)
+
+
 # --- limits that cut ----------------------------------------------------------
 def q_top_tracks_sme_100(spark, sf_dir):
     return _job(spark, sf_dir, top_n_sme=100).top_sme
@@ -305,7 +416,7 @@ def _daily(spark, sf_dir) -> str:
 
 
 def q_daily_batches(spark, sf_dir):
-    b = PS.read_batches(spark, f"{_daily(spark, sf_dir)}/batches")
+    b = PS.published(spark, _daily(spark, sf_dir), "batches")
     return b.select(
         "market", "playlist", "batch_no", "send_order", "insert_at", "n_uris",
         F.array_join("uris", ",").alias("uri_list"), "description",
@@ -313,7 +424,7 @@ def q_daily_batches(spark, sf_dir):
 
 
 def q_daily_manifest(spark, sf_dir):
-    found = spark.read.parquet(f"{_daily(spark, sf_dir)}/manifest")
+    found = PS.published(spark, _daily(spark, sf_dir), "manifest")
     return found.select("market", "playlist", "description", F.col("as_of").cast("string").alias("as_of"), "n_tracks")
 
 
@@ -385,6 +496,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_manifest": q_daily_manifest,
         "playlist_items": q_playlist_items,
         "parsed_timestamps": q_parsed_timestamps,
+        "csv_by_name": q_csv_by_name,
+        "csv_drift": q_csv_drift,
+        "playlist_edits": q_playlist_edits,
+        "playlist_edit_replay": q_playlist_edit_replay,
+        "playlist_pages": q_playlist_pages,
+        "published_lists": q_published_lists,
+        "batch_replay": q_batch_replay,
+        "load_once": q_load_once,
+        "best_cover_rolling": q_best_cover_rolling,
+        "segment_streams_colocated": q_segment_streams_colocated,
+        "segment_pivot": q_segment_pivot,
     })
     if llm_queries is not None:
         q.update(llm_queries.queries())

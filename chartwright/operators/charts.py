@@ -358,6 +358,34 @@ def segment_shares(tracks: DataFrame, segments: Sequence[str]) -> DataFrame:
     )
 
 
+#: Segments that a pivot may find; each is a column.
+MAX_SEGMENTS = 200
+
+
+class TooManySegmentsError(ValueError):
+    """A pivot would have more columns than its bound."""
+
+
+def found_segments(tracks: DataFrame, most: int = MAX_SEGMENTS) -> list[str]:
+    """The segments that occur, in order; an error beyond ``most`` (at most one name more is fetched)."""
+    names = tracks.select("segment_name").filter("segment_name is not null").distinct().limit(most + 1).collect()
+    if len(names) > most:
+        raise TooManySegmentsError(f"more than {most} segments")
+    return sorted(r[0] for r in names)
+
+
+def segment_pivot(tracks: DataFrame, most: int = MAX_SEGMENTS) -> DataFrame:
+    """A7 with the columns that the data has: streams per (market, ISRC), one column for each segment that occurs.
+
+    Two phases: a bounded distinct finds the columns, a pivot with known values
+    (one aggregate) fills them.  An ISRC without rows of a segment has NULL there.
+    """
+    names = found_segments(tracks, most)
+    if not names:
+        return tracks.select("market", "track_isrc").distinct()
+    return tracks.groupBy("market", "track_isrc").pivot("segment_name", names).agg(F.sum("segment_streams"))
+
+
 def chart(metadata: DataFrame, shares: DataFrame, releases: DataFrame) -> DataFrame:
     """Metadata + release date + shares, ranked by total streams.
 

@@ -253,25 +253,22 @@ def daily_lists(job: ChartJob) -> DataFrame:
 
 
 def run_daily(job: ChartJob, out_dir: str) -> DataFrame:
-    """The production run: chart, all lists, batches, manifest.
+    """The production run: chart, all lists, batches, manifest, published as one version.
 
-    Writes ``out_dir/playlists`` (partitioned by market and list, dynamic
-    overwrite), ``out_dir/batches`` (publish calls) and, last,
-    ``out_dir/manifest``.  Returns the manifest as read back.  The run's stage
+    ``out_dir`` is a ``VersionStore``: tables ``playlists``, ``batches`` (publish
+    calls) and ``manifest``, replaced together by one commit; a run that breaks
+    leaves the last one readable.  Returns the manifest as read back.  The run's stage
     folders are removed when it ends, however it ends.
     """
     from chartwright.sources import playlist_store as PS
 
     p = job.params
     spark = job.inputs.dim_partner.sparkSession
-    base = out_dir.rstrip("/")
     with stage_scope(spark):
         lists = materialize(daily_lists(job), "lists")
         expected = PS.expected_lists(spark, p.markets, {m: job.lists_of(m) for m in p.markets})
         days = job.stream_days
         manifest = materialize(PS.playlist_manifest(lists, expected, days), "manifest")
-        PS.write_lists(lists, manifest, f"{base}/playlists")
         dated = lists.join(manifest.select("market", "playlist", "as_of"), ["market", "playlist"])
-        PS.write_batches(P.playlist_batches(dated, F.col("as_of")), manifest, f"{base}/batches")
-        PS.write_manifest(manifest, f"{base}/manifest")
-    return spark.read.parquet(f"{base}/manifest")
+        PS.publish_playlists(lists, P.playlist_batches(dated, F.col("as_of")), manifest, out_dir)
+    return PS.published(spark, out_dir, "manifest")

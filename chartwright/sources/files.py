@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from chartwright import defaults as D
 from chartwright.plans.session import scratch_path
+from chartwright.sources.headers import bind_by_name, header_drift
 
 CORRUPT = "_corrupt_record"
 
@@ -50,16 +51,25 @@ def read_csv_feed(spark: SparkSession, path: str, schema: T.StructType | None =
     type inference (an extra pass over the data) only on request.  Unlike
     the original, a bad file raises instead of returning nothing.
 
-    An unquoted empty field is NULL, a quoted one (``""``) the empty string.
+    With a schema, columns are bound by name, file by file
+    (``headers.bind_by_name``): their order does not matter, further columns are
+    left out, a missing one is NULL, or an error if the schema's field is not
+    nullable.  An unquoted empty field is NULL, a quoted one (``""``) the empty
+    string.
     """
     reader = _reader(spark, multi_line).option("mode", "FAILFAST")
     if schema is not None:
-        reader = reader.schema(schema)
-    elif infer_schema:
+        return bind_by_name(spark, path, schema, lambda: _reader(spark, multi_line).option("mode", "FAILFAST"))
+    if infer_schema:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)
 
 
+def csv_drift(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """How each file of a feed departs from ``schema`` (see ``headers.header_drift``)."""
+    return header_drift(spark, path, schema, lambda: _reader(spark, multi_line))
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False, partition_by: Sequence[str] = ()) -> str:
     """Replace ``path`` with a header CSV (a folder of parts).
 
@@ -114,6 +124,31 @@ def bulk_load_csv(
     the target appended, so a failed load leaves the target untouched and
     a lost executor re-reads only its own split.
     """
+    parsed = parse_csv(spark, source, schema, max_errors, rejects, multi_line)
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            c = F.translate(c, "\ufffd", invalid_char)
+            if widths and f.name in widths:
+                c = F.substring(c, 1, widths[f.name])
+        cols.append(c.alias(f.name))
+    parsed.good.select(*cols).write.mode("append").parquet(target)
+    return BulkLoad(spark.read.parquet(target), parsed.loaded, parsed.rejected, spark.read.parquet(parsed.rejects))
+
+
+@dataclass(frozen=True)
+class Parsed:
+    """A CSV source, parsed once into a stage."""
+
+    good: DataFrame   # rows that parse
+    loaded: int
+    rejected: int
+    rejects: str      # table of the raw lines (``line``) of the others
+
+
+def parse_csv(spark: SparkSession, source: str, schema: T.StructType, max_errors: int, rejects: str | None, multi_line: bool) -> Parsed:
+    """One pass over a CSV source into the shared scratch folder; fails when ``max_errors`` rows do not parse."""
     staged_path = scratch_path(spark, "bulk-load")
     rejects = rejects or scratch_path(spark, "bulk-load-rejects")
     read_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
@@ -132,17 +167,7 @@ def bulk_load_csv(
     staged.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line")).write.mode("append").parquet(rejects)
     if bad >= max_errors:
         raise BulkLoadError(f"{bad} rows could not be parsed (limit {max_errors}); their lines are in {rejects}")
-    cols = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            c = F.translate(c, "\ufffd", invalid_char)
-            if widths and f.name in widths:
-                c = F.substring(c, 1, widths[f.name])
-        cols.append(c.alias(f.name))
-    clean = staged.filter(F.col(CORRUPT).isNull()).select(*cols)
-    clean.write.mode("append").parquet(target)
-    return BulkLoad(spark.read.parquet(target), good, bad, spark.read.parquet(rejects))
+    return Parsed(staged.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), good, bad, rejects)
 
 
 def _qualified(spark: SparkSession, path: str) -> str:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from chartwright.operators.charts import DateLike, _date
 from chartwright.plans.session import materialize
 from chartwright.operators.playlists import LIST_KEY, playlist_description
+from chartwright.sources.versions import Commit, VersionStore
 
 
 class EmptyPlaylistError(RuntimeError):
@@ -135,6 +136,37 @@ def write_playlists(
     return manifest
 
 
+def publish_playlists(
+    lists: DataFrame,
+    batches: DataFrame | None,
+    manifest: DataFrame,
+    root: str,
+    uri_col: str = "_track_uri",
+) -> Commit:
+    """Replace the manifest's lists, their batches and manifest rows in one step.
+
+    Lists that the manifest does not name are carried over from the current
+    version.  An empty list has its manifest row (0 tracks) and no others, so
+    nothing of an earlier run stays behind.
+    """
+    store = VersionStore(lists.sparkSession, root)
+    before = store.current()
+    own = manifest.select(*LIST_KEY)
+    new = {"playlists": lists.select(*LIST_KEY, "position", F.col(uri_col).alias("track_uri")), "batches": batches, "manifest": manifest}
+    tables = {}
+    for name, rows in new.items():
+        kept = store.read(name, before).join(own, list(LIST_KEY), "left_anti") if before and name in before.tables else None
+        whole = rows if kept is None else kept if rows is None else rows.unionByName(kept)
+        if whole is not None:
+            tables[name] = whole
+    return store.publish(tables, after=before)
+
+
+def published(spark: SparkSession, root: str, table: str = "playlists") -> DataFrame:
+    """A table (``playlists``, ``batches`` or ``manifest``) of the newest published version."""
+    return VersionStore(spark, root).read(table)
+
+
 def read_playlists(spark: SparkSession, path: str) -> DataFrame:
     """Current lists without tombstones: ``market, playlist, position, track_uri``."""
     return (
@@ -153,7 +185,12 @@ def playlist_diff(old: DataFrame, new: DataFrame, uri_col: str = "track_uri") ->
     return added.unionByName(removed)
 
 
+class PageError(RuntimeError):
+    """The pages of a list do not make up the list."""
+
+
 ITEMS_SCHEMA = "struct<items: array<struct<track: struct<uri: string>>>>"
+PAGE_SCHEMA = "struct<offset: bigint, total: bigint, items: array<struct<track: struct<uri: string>>>>"
 
 
 def playlist_items_from_json(df: DataFrame, body_col: str = "body") -> DataFrame:
@@ -167,3 +204,54 @@ def playlist_items_from_json(df: DataFrame, body_col: str = "body") -> DataFrame
     return df.select(*LIST_KEY, F.posexplode(uris).alias("pos", "track_uri")).select(
         *LIST_KEY, (F.col("pos") + 1).alias("position"), "track_uri"
     )
+
+
+def stitch_pages(df: DataFrame, body_col: str = "body") -> DataFrame:
+    """Whole lists out of their pages, whatever order the pages come in.
+
+    ``df`` has ``market, playlist`` and one JSON page per row
+    (``{"offset": 0, "total": 250, "items": [...]}``).  An item stands at its
+    page's offset plus its place in the page.  Pages may overlap and repeat:
+    equal items of one position count once.  Raises ``PageError`` when
+    pages disagree on an item or on the total, when a page has no offset or
+    total, or when a position up to the total is not covered (or one beyond it is).
+    """
+    page = F.from_json(F.col(body_col), PAGE_SCHEMA)
+    pages = df.select(*LIST_KEY, page.alias("p")).select(
+        *LIST_KEY, F.col("p.offset").alias("offset"), F.col("p.total").alias("total"),
+        F.transform(F.col("p.items"), lambda x: F.struct(x["track"]["uri"].alias("uri"))).alias("items"))
+    pages = materialize(pages, "pages")
+    spots = materialize(
+        pages.select(*LIST_KEY, "offset", F.posexplode("items").alias("i", "item"))
+        .groupBy(*LIST_KEY, (F.col("offset") + F.col("i") + 1).alias("position"))
+        .agg(F.min("item").alias("low"), F.max("item").alias("high")), "spots")
+    told = pages.groupBy(*LIST_KEY).agg(
+        F.min("total").alias("total"), F.max("total").alias("other"),
+        F.count(F.when(F.col("offset").isNull() | F.col("total").isNull() | (F.col("offset") < 0), 1)).alias("blank"))
+    covered = spots.groupBy(*LIST_KEY).agg(
+        F.count("*").alias("n"), F.max("position").alias("last"), F.count(F.when(~F.col("low").eqNullSafe(F.col("high")), 1)).alias("torn"))
+    state = told.join(covered, list(LIST_KEY), "left").fillna(0, ["n", "last", "torn"])
+    fault = (
+        F.when(F.col("blank") > 0, "a page without offset or total")
+        .when(F.col("total") != F.col("other"), "pages with different totals")
+        .when(F.col("torn") > 0, "pages with different items at one position")
+        .when(F.col("last") > F.col("total"), "items beyond the total")
+        .when(F.col("n") < F.col("total"), "positions that no page covers"))
+    faults = state.select(*LIST_KEY, fault.alias("fault")).filter("fault is not null").limit(5).collect()
+    if faults:
+        raise PageError("; ".join(f"{r['market']}/{r['playlist']}: {r['fault']}" for r in faults))
+    return spots.select(*LIST_KEY, F.col("position").cast("int").alias("position"), F.col("low.uri").alias("track_uri"))
+
+
+def list_pages(lists: DataFrame, size: int, overlap: int = 0, uri_col: str = "_track_uri") -> DataFrame:
+    """Pages (market, playlist, body) of up to ``size`` items, each beginning ``overlap`` items before the last one's end."""
+    step = size - overlap
+    place = F.col("position") - 1
+    last = F.floor(place / step)
+    first = F.greatest(F.lit(0), F.floor((place - size) / step) + 1)
+    n = lists.groupBy(*LIST_KEY).agg(F.count("*").alias("total"))
+    item = F.struct("position", F.struct(F.struct(F.col(uri_col).alias("uri")).alias("track")).alias("item"))
+    return lists.select(*LIST_KEY, F.explode(F.sequence(first, last)).alias("page"), item.alias("x")).groupBy(*LIST_KEY, "page").agg(
+        F.sort_array(F.collect_list("x")).alias("xs")).join(n, list(LIST_KEY)).select(
+        *LIST_KEY, F.to_json(F.struct(
+            (F.col("page") * step).alias("offset"), "total", F.transform("xs", lambda x: x["item"]).alias("items"))).alias("body"))

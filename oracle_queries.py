@@ -491,6 +491,59 @@ def oracle_sql() -> dict[str, str]:
         LEFT JOIN (SELECT market, playlist, count(*) AS n FROM daily GROUP BY 1, 2) c
           ON c.market = m.market AND c.playlist = n.playlist""")
     q["playlist_items"] = _with(pl, "SELECT market, playlist, position, _track_uri AS track_uri FROM lists")
+    odd = "(length(_track_name) + length(coalesce(segment_name, ''))) % 3"
+    q["csv_by_name"] = _with(ch, f"""
+        SELECT market, track_isrc, segment_name, _track_uri, _track_artist, _track_name,
+               CASE WHEN {odd} <> 2 THEN _primary_genre END AS _primary_genre,
+               CASE WHEN {odd} = 2 AND feed <> 'SME' THEN 'n/a' ELSE CAST(segment_streams AS VARCHAR) END AS segment_streams,
+               total_streams, feed FROM tracks""")
+    names = ["market", "track_isrc", "segment_name", "_track_uri", "_track_artist", "_track_name", "_primary_genre",
+             "segment_streams", "total_streams", "feed"]
+    moved = " UNION ALL ".join(f"SELECT 'turned', '{c}', 'moved', CAST(NULL AS BIGINT)" for c in names)
+    q["csv_drift"] = _with(ch, f"""
+        SELECT 'turned' AS delivery, 'comment' AS "column", 'extra' AS change, CAST(NULL AS BIGINT) AS n
+        UNION ALL {moved}
+        UNION ALL SELECT 'short', '_primary_genre', 'missing', NULL
+        UNION ALL SELECT 'short', 'segment_streams', 'retyped', count(*) FROM tracks WHERE {odd} = 2 AND feed <> 'SME' HAVING count(*) > 0""")
+
+    two = (fx + chart_ctes(s="_o", day="1999-01-01", markets=ALL_MARKETS) + playlist_ctes(s="_o", names=("top",))
+           + chart_ctes(s="_n", day="2000-01-01", markets=ALL_MARKETS) + playlist_ctes(s="_n", names=("top",)))
+    q["playlist_edit_replay"] = _with(two, "SELECT market, playlist, position, _track_uri AS track_uri FROM lists_n")
+    # tracks in both lists that are not on a longest increasing run (patience: each value takes the first pile top that is not smaller)
+    q["playlist_edits"] = _with(two + [
+        """common AS (SELECT market, playlist, list(o.position ORDER BY n.position) AS v
+                      FROM lists_n n JOIN lists_o o USING (market, playlist, _track_uri) GROUP BY 1, 2)""",
+        """piles AS (SELECT market, playlist, len(v) AS n, len(list_reduce(
+                         list_prepend(CAST([] AS INTEGER[]), list_transform(v, lambda x: [CAST(x AS INTEGER)])),
+                         lambda t, x: list_filter(t, lambda y: y < x[1]) || x || list_filter(t, lambda y: y >= x[1])[2:])) AS run FROM common)""",
+        """sizes AS (SELECT market, playlist, sum(o) AS o, sum(n) AS n FROM (
+                         SELECT market, playlist, 1 AS o, 0 AS n FROM lists_o UNION ALL SELECT market, playlist, 0, 1 FROM lists_n) GROUP BY 1, 2)"""], """
+        SELECT market, playlist, CAST(s.o - coalesce(p.n, 0) AS BIGINT) AS n_remove, CAST(coalesce(p.n - p.run, 0) AS BIGINT) AS n_move,
+               CAST(s.n - coalesce(p.n, 0) AS BIGINT) AS n_add
+        FROM sizes s LEFT JOIN piles p USING (market, playlist)""")
+    q["published_lists"] = _with(
+        fx + chart_ctes(s="_o", day="1999-01-01") + playlist_ctes(s="_o") + chart_ctes(s="_n") + playlist_ctes(s="_n", names=("top",)), """
+        SELECT market, playlist, position, _track_uri AS track_uri, '1999-01-01' AS as_of FROM lists_o WHERE playlist <> 'top'
+        UNION ALL SELECT market, playlist, position, _track_uri, '2000-01-01' FROM lists_n""")
+    q["load_once"] = _with(ch, """
+        SELECT market, track_isrc, segment_name, _track_uri, _track_artist, substr('Żółć ' || _track_name, 1, 3) AS _track_name,
+               _primary_genre, segment_streams, total_streams, feed FROM tracks""")
+    q["best_cover_rolling"] = _with(fx + [
+        """per AS (SELECT d.d, track_isrc, track_uri, sum(num_streams) AS streams
+                   FROM (SELECT make_date(CAST(y AS BIGINT), 1, 1) AS d FROM generate_series(1995, 2001) t(y)) d
+                   JOIN fs_all f ON f.report_date BETWEEN d.d - 730 AND d.d AND country_code = 'EUROPE' AND source_type_key IN (4, 7)
+                   JOIN dpi USING (partner_info_key) GROUP BY 1, 2, 3)""",
+        """best AS (SELECT *, row_number() OVER (PARTITION BY d, track_isrc ORDER BY streams DESC NULLS FIRST, track_uri NULLS LAST) AS k FROM per)"""], """
+        SELECT strftime(d, '%Y-%m-%d') AS run_date, track_isrc, track_uri AS track_uri_fs, CAST(streams AS BIGINT) AS cover_streams
+        FROM best WHERE k = 1""")
+    q["segment_pivot"] = _with(ch, """
+        SELECT * FROM (PIVOT (SELECT market, track_isrc, segment_name, segment_streams FROM tracks WHERE segment_name IS NOT NULL)
+                       ON segment_name USING CAST(sum(segment_streams) AS BIGINT) GROUP BY market, track_isrc)
+        UNION ALL BY NAME
+        SELECT market, track_isrc FROM tracks GROUP BY 1, 2 HAVING count(segment_name) = 0""")
+    q["batch_replay"] = q["playlist_items"]
+    q["playlist_pages"] = q["playlist_items"]
+    q["segment_streams_colocated"] = q["segment_streams_sme"]
     q["parsed_timestamps"] = """
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS compact, strftime(ts, '%Y-%m-%d %H:%M:%S') AS iso,
                strftime(ts, '%Y-%m-%d %H:%M:%S') AS epoch, CAST(NULL AS VARCHAR) AS "none" FROM events"""

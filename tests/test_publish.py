@@ -94,10 +94,10 @@ def test_run_daily_all_markets_on_watermarks(spark, tmp_scratch):
     for r in manifest:
         assert r["as_of"] == wm[r["market"]]
         assert r["description"] == "Dane na dzien " + wm[r["market"]].isoformat()
-    lists = PS.read_playlists(spark, f"{out}/playlists")
+    lists = PS.published(spark, out)
     per_list = {(r["market"], r["playlist"]): r["count"] for r in lists.groupBy("market", "playlist").count().collect()}
     assert per_list == {(r["market"], r["playlist"]): r["n_tracks"] for r in manifest if r["n_tracks"] > 0}
-    batches = spark.read.parquet(f"{out}/batches")
+    batches = PS.published(spark, out, "batches")
     assert batches.agg({"n_uris": "sum"}).collect()[0][0] == sum(r["n_tracks"] for r in manifest)
 
 
@@ -122,5 +122,4 @@ def test_run_daily_fails_for_market_without_watermark(spark, tmp_scratch):
     out = tmp_scratch("daily")
     with pytest.raises(WatermarkError):
         run_daily(ChartJob(E.inputs(spark, SF_SMALL), params), out)
-    import os
-    assert not os.path.exists(out.split(":", 1)[-1] + "/playlists")   # nothing published
+    assert not os.path.exists(out.split(":", 1)[-1] + "/commits")   # nothing published
