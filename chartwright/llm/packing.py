@@ -79,6 +79,11 @@ def ids_of(text: str, vocabulary: Vocabulary) -> np.ndarray:
     return _encoding(vocabulary).encode_to_numpy(text, allowed_special="all")
 
 
+def id_type(vocabulary: Vocabulary, closing: int) -> str:
+    """What the ids are kept in between the passes: two bytes where they fit."""
+    return "<u2" if max(_encoding(vocabulary).n_vocab - 1, closing) < 1 << 16 else "<u4"
+
+
 # -- vectors ---------------------------------------------------------------
 def _projection() -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((BUCKETS, DIMS)) / np.sqrt(DIMS)
@@ -144,15 +149,16 @@ _COORDINATES = [f"c{i}" for i in range(DIMS)]
 
 
 def _token_task(vocabulary: Vocabulary, closing: int):
-    """From (id, text, row): (id, row, n, c0.., ids as little-endian 32-bit integers)."""
+    """From (id, text, row): (id, row, n, c0.., ids in the narrowest type)."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([closing], np.uint32)
+        width = id_type(vocabulary, closing)
         for batch, texts in slices(batches):
             found = [ids_of(t, vocabulary) for t in texts.to_pylist()]
             starts = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int64)
             points = vectors(np.concatenate([*found, end[:0]]), starts)
-            ids = pa.array([np.append(x, end).astype("<u4").tobytes() for x in found], pa.binary())
+            ids = pa.array([np.append(x, end).astype(width).tobytes() for x in found], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(np.diff(starts) + 1), *map(pa.array, points.T.copy()), ids],
                 ["id", "row", "n", *_COORDINATES, "ids"])
@@ -179,7 +185,7 @@ def boundaries(total: int, length: int) -> tuple[int, list[int]]:
     return full, at
 
 
-def _piece_task(total: int, length: int):
+def _piece_task(total: int, length: int, width: str):
     """From (id, start, ids): the documents' pieces, written out whenever ``FLUSH`` bytes of ids are ready."""
     full, tail = boundaries(total, length)
     ends = np.array(tail)
@@ -201,15 +207,15 @@ def _piece_task(total: int, length: int):
                     ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
             for i in range(batch.num_rows):
-                ids = batch.column(2)[i].as_buffer()
-                g, n = int(first[i]), ids.size // 4
+                ids = np.frombuffer(batch.column(2)[i].as_buffer(), width)
+                g, n = int(first[i]), len(ids)
                 cuts = np.concatenate((
                     [g], np.arange(g // length + 1, min((g + n - 1) // length, full) + 1) * length,
                     [t for t in tail[1:-1] if g < t < g + n])).astype(np.int64)
                 sizes = np.diff(np.append(cuts, g + n))
                 rows.append((np.full(len(cuts), i), cuts, sizes, np.full(len(cuts), n)))
-                made += [ids.slice(4 * (c - g), 4 * x).to_pybytes() for c, x in zip(cuts.tolist(), sizes.tolist(), strict=True)]
-                size += ids.size
+                made += [ids[c - g : c - g + x].astype("<u4").tobytes() for c, x in zip(cuts.tolist(), sizes.tolist(), strict=True)]
+                size += 4 * n
                 if size >= FLUSH:
                     yield out()
                     rows, made, size = [], [], 0
@@ -239,5 +245,5 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", tex
     discard(keyed)
     met = tokens.select("id", "row", "ids").join(placed.select("row", "start"), "row").select("id", "start", "ids")
     return met.mapInArrow(
-        _piece_task(total, length),
+        _piece_task(total, length, id_type(vocabulary, closing)),
         f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
