@@ -30,12 +30,14 @@ must add up to more than H.
 **Buckets.**  A key's sets arrive sorted by size in one stream, cut into runs
 without being held.  Short runs give all their pairs.  A long run gives pairs
 with its first set and with the one before; after these are verified and joined
-into components, only pairs of a run in different components are left.  Of these
-go on all whose sketches allow it: a sketch holds the parity of the elements
-that fall on each of SKETCH_BITS bits, so two sketches differ in no more bits
-than the sets do in elements, and more than H bits rule a pair out for certain.
-So a family of near copies costs a few pairs each, and no link between different
-components is lost.
+into components, only pairs of a run in different components are left.  A long
+run is dealt in blocks of bounded size, each two of them a task of their own.
+There a sketch of each set (the parity of the elements that fall on each of
+SKETCH_BITS bits) rules out pairs for certain, because sketches differ in no
+more bits than the sets do in elements; sets that may still have a link are
+sent once and compared in the task, which keeps what is joined already and
+gives a spanning forest.  So a family of near copies costs rows in proportion to
+its sets, and no link between different components is lost.
 
 **Counting.**  The pigeonhole counts: if x has N segments and differs from y in
 H elements at most, they share N - H keys at least.  A pair that met in c short
@@ -61,7 +63,7 @@ from math import ceil, floor, log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartwright.llm.components import components
@@ -323,46 +325,164 @@ def _sketches(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(task, "id long, sketch binary")
 
 
-def _stream_crossing(t: Fraction):
-    """Task over rows (key, size, id, asks, component, sketch) sorted by key and size: the pairs of a key in
-    different components of which the smaller set asks, or either where both are of one size, and whose
-    sketches differ in few enough bits."""
+#: Rows of a long run that one task compares with each other, or with as many others.
+RUN_ROWS = 4096
+#: Keys of a set that tell whether a pair meets under an earlier key too.
+FIRST_KEYS = 8
+
+
+class Forest:
+    """Which of the labels are known to be one."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        root = x
+        while (up := self.above.get(root, root)) != root:
+            root = up
+        while x != root:
+            self.above[x], x = root, self.above.get(x, root)
+        return root
+
+    def join(self, x: int, y: int) -> None:
+        self.above[self.find(y)] = self.find(x)
+
+
+def _cells(batches: Iterable[pa.RecordBatch], n_keys: int = 3) -> Iterator[pa.RecordBatch]:
+    """The rows of each cell (equal first ``n_keys`` columns), put together once."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in range(n_keys)], axis=1)
+        cut = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            if hi == lo:
+                continue
+            key = tuple(keys[lo].tolist())
+            if held and key != last:
+                yield pa.concat_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _crossing(cell: pa.RecordBatch, t: Fraction) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js): rows of a cell that may be links of sets in different components.
+
+    The smaller set asks, or either where both are of one size.  The sketches
+    differ in few enough bits.  A pair is left to an earlier key where i's first asked keys
+    and j's first keys show one; so a pair of sets with many keys in common is
+    met once or a few times.
+    """
+    key, lo, hi, size, _, asks, part, block = (cell.column(c).to_numpy() for c in range(8))
+    asked, seen = (cell.column(c).flatten().to_numpy().reshape(-1, FIRST_KEYS) for c in (8, 9))
+    bits = np.frombuffer(b"".join(cell.column(10).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+    apart = lo[0] != hi[0]
+    for i in np.flatnonzero(asks).tolist():
+        low = int(np.searchsorted(size, size[i]))
+        top = int(np.searchsorted(size, size[i] * t.denominator // t.numerator, side="right"))
+        differs = part[low:top] != part[i]
+        if apart:
+            differs &= block[low:top] != block[i]
+        j = np.flatnonzero(differs) + low
+        most = (size[j] + size[i]) * (t.denominator - t.numerator) // (t.denominator + t.numerator)
+        j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(1) <= most]
+        own = asked[i]
+        here = np.flatnonzero(own == key[0])
+        earlier = own[: here[0]] if len(here) else own
+        if len(j) and len(earlier := earlier[earlier != 0]):
+            j = j[~np.isin(seen[j], earlier).any(axis=1)]
+        if len(j):
+            yield i, j
+
+
+_CELL = ("key", "lo", "hi", "size", "id", "asks", "component", "block", "asked", "seen", "sketch")
+
+
+def _members_task(t: Fraction):
+    """Of each cell's rows those that are in a pair that may be a link: (key, lo, hi, id)."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 5
-        held_bits = np.zeros((0, SKETCH_BITS // 64), np.uint64)
-
-        def out(rows: list[np.ndarray], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-            key, size, ident, asks, part = rows
-            cut = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
-            left, right = [], []
-            for i in np.flatnonzero(asks).tolist():
-                run = int(np.searchsorted(cut, i, side="right"))
-                lo, hi = int(cut[run - 1]), int(cut[run])
-                low = lo + int(np.searchsorted(size[lo:hi], size[i]))
-                top = lo + int(np.searchsorted(size[lo:hi], size[i] * t.denominator // t.numerator, side="right"))
-                j = np.flatnonzero(part[low:top] != part[i]) + low
-                most = (size[j] + size[i]) * (t.denominator - t.numerator) // (t.denominator + t.numerator)
-                j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(1) <= most]
-                left.append(ident[np.minimum(i, j)])
-                right.append(ident[np.maximum(i, j)])
-            if left:
-                pairs = np.unique(np.stack((np.concatenate(left), np.concatenate(right))), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+        for cell in _cells(batches):
+            hit = np.zeros(cell.num_rows, bool)
+            for i, j in _crossing(cell, t):
+                hit[i], hit[j] = True, True
+            yield cell.select(["key", "lo", "hi", "id"]).filter(pa.array(hit))
+
+    return task
 
-        for batch in batches:
-            rows = [np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))) for c, h in enumerate(held)]
-            new = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
-            bits = np.concatenate((held_bits, new))
-            start = int(np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))[-1])
-            yield from out([r[:start] for r in rows], bits[:start])
-            held, held_bits = [r[start:] for r in rows], bits[start:]
-        if len(held[0]):
-            yield from out(held, held_bits)
+
+def _links_task(t: Fraction):
+    """Links (a, b) of each cell that join different components, compared exactly: no more than its rows, as what is joined already is not compared again."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _cells(batches):
+            ident, part = cell.column(4).to_numpy().tolist(), cell.column(6).to_numpy().tolist()
+            sets = [np.frombuffer(x, np.uint64) for x in cell.column(11).to_pylist()]
+            joined, made = Forest(), []
+            for i, js in _crossing(cell, t):
+                for j in js.tolist():
+                    if joined.find(part[i]) == joined.find(part[j]):
+                        continue
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if both * (t.denominator + t.numerator) >= t.numerator * (len(sets[i]) + len(sets[j])):
+                        joined.join(part[i], part[j])
+                        made.append(sorted((ident[i], ident[j])))
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made]), pa.array([m[1] for m in made])], ["a", "b"])
 
     return task
 
 
+def _crossing_links(docs: DataFrame, long: DataFrame, k: int, t: Fraction) -> DataFrame:
+    """Links (a, b) between different components among the rows (key, size, id, asks, component) of long runs.
+
+    A run is dealt in blocks of about ``RUN_ROWS`` rows, and each two blocks (and each with itself)
+    are a cell: what a task holds does not grow with the run.  First each cell
+    names the rows that may be in a link, by their sketches; then only their sets
+    travel and are compared in the cell.
+    """
+    mixed = long.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.max("asks").alias("any"),
+        F.ceil(F.count("*") / RUN_ROWS).cast("int").alias("blocks")).filter("low < high and any > 0")
+    rows = materialize(long.join(mixed.select("key", "blocks"), "key"), "mixed")
+    of = F.struct(F.xxhash64("key").alias("h"), "key")
+
+    def first(keys: Column) -> Column:
+        least = F.transform(F.slice(F.array_sort(F.collect_set(keys)), 1, FIRST_KEYS), lambda x: x["key"])
+        return F.slice(F.concat(least, F.array_repeat(F.lit(0).cast("long"), FIRST_KEYS)), 1, FIRST_KEYS)
+
+    firsts = rows.groupBy("id").agg(first(F.when(F.col("asks") > 0, of)).alias("asked"), first(of).alias("seen"))
+    drawn = _sketches(_among_ids(docs, materialize(rows.select("id").distinct(), "mixed-ids")).select("id", "text"), k)
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    cells = rows.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "size", "id", "asks", "component", "block")
+    cells = cells.join(materialize(firsts.join(drawn, "id"), "sketches"), "id").select(*_CELL)
+
+    def by_cell(some: DataFrame) -> DataFrame:
+        return some.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "size", "id")
+
+    hit = materialize(by_cell(cells).mapInArrow(_members_task(t), "key long, lo int, hi int, id long"), "members")
+    ids = materialize(hit.select("id").distinct(), "member-ids")
+    sets = _sets(_among_ids(docs, ids).select("id", "text"), k)
+    full = cells.join(hit, ["key", "lo", "hi", "id"]).join(materialize(sets, "member-sets"), "id").select(*_CELL, "s")
+    return materialize(by_cell(full).mapInArrow(_links_task(t), "a long, b long").distinct(), "crossing")
+
+
+def _sets(docs: DataFrame, k: int) -> DataFrame:
+    """Rows (id, s): the sorted 64-bit hashes of each set."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_ids(batch)), pa.array([s.tobytes() for s in shingle_sets(texts, k)], pa.binary())], ["id", "s"])
+
+    return docs.mapInArrow(task, "id long, s binary")
+
+
 # -- the join --------------------------------------------------------------
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
@@ -582,15 +702,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .join(parts.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     )
     long = materialize(long.select("key", "size", "id", "asks", "component"), "runs")
-    mixed = long.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("asks").alias("any")).filter("lo < hi and any > 0")
-    crossing = materialize(long.join(mixed.select("key"), "key", "left_semi"), "mixed")
-    drawn = _sketches(_among_ids(alone, materialize(crossing.select("id").distinct(), "mixed-ids")).select("id", "text"), shingle)
-    crossing = crossing.join(drawn, "id").select("key", "size", "id", "asks", "component", "sketch")
-    crossing = crossing.repartition("key").sortWithinPartitions("key", "size", "id").mapInArrow(_stream_crossing(plan.t), "a long, b long")
-    more = materialize(crossing.distinct().join(pairs, ["a", "b"], "left_anti"), "crossing")
+    more = _crossing_links(alone, long, shingle, plan.t)
     if not more.isEmpty():
-        links = links.union(_verified(alone, more, shingle, plan.t))
-        parts = components(links)
+        parts = components(links.union(more))
     parts = parts.select(F.col("node").alias("rep"), "component")
     return member.join(parts, "rep", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), F.col("rep").alias("class_id"))
