@@ -31,7 +31,7 @@ import heapq
 import json
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +90,6 @@ class Bpe:
         self.names = [""] * (max([*self.ids.values(), *self.special.values()]) + 1)
         for name, i in {**self.ids, **self.special}.items():
             self.names[i] = name
-        self.utf8 = [name.encode() for name in self.names]
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"])
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
@@ -185,12 +184,18 @@ class Bpe:
         return join_codes(words, list(map(self.words.__getitem__, words.vocabulary)), np.dtype("<u4"))
 
     # -- decoding ----------------------------------------------------------
-    def spelled(self, ids: np.ndarray) -> bytes:
-        """What the file's library decodes: it has no decoder, so tokens between spaces."""
-        return b" ".join(map(self.utf8.__getitem__, ids.tolist()))
-
-    def text(self, ids: Iterable[int]) -> Iterator[str]:
-        """The text of the tokens, incrementally: word ends become spaces."""
+    def text(self, ids: Iterable[int], *, spaced: bool = False) -> Iterator[str]:
+        """The text of the tokens, incrementally: word ends become spaces.
+
+        ``spaced``: the form that the file's library decodes to; the file names no decoder,
+        so the tokens' own names stand between spaces.
+        """
+        if spaced:
+            ids, between = iter(ids), ""
+            while block := " ".join(map(self.names.__getitem__, islice(ids, BLOCK))):
+                yield between + block
+                between = " "
+            return
         value = {s: b for b, s in enumerate(self.symbols)}
         machine = codecs.getincrementaldecoder("utf-8")("replace")
         special = set(self.special.values())
@@ -204,6 +209,13 @@ class Bpe:
             yield machine.decode(bytes(value[c] for c in name.removesuffix(self.suffix)), ends) + (" " if ends else "")
         yield machine.decode(b"", True)
 
+    def digest(self, ids: np.ndarray, *, spaced: bool = True) -> str:
+        """SHA-256 of the decoded text in UTF-8, fed with what the machine gives."""
+        found = hashlib.sha256()
+        for piece in self.text(ids.tolist(), spaced=spaced):
+            found.update(piece.encode())
+        return found.hexdigest()
+
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: the id, ``ids array<int>``, and the digests of the ids and of what they decode to.
@@ -224,7 +236,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
                     pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32))),
                     pa.array(np.diff(starts)),
                     pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in own]),
-                    pa.array([hashlib.sha256(bpe.spelled(x)).hexdigest() for x in own]),
+                    pa.array([bpe.digest(x) for x in own]),
                 ],
                 [id_col, "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
             )

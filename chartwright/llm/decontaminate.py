@@ -149,14 +149,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     diagonals = hits.filter("set is not null").select("_id", "set", "shift").distinct()
 
     # extend: the words of both sides along each diagonal, compared
-    by_doc = diagonals.groupBy("_id").agg(F.collect_list(F.struct("set", "shift")).alias("diagonals"))
+    measured = diagonals.join(items.select("set", F.size("item_words").alias("n_item")), "set")
+    by_doc = measured.groupBy("_id").agg(F.collect_list(F.struct("set", "shift", "n_item")).alias("diagonals"))
     sides = (
-        source.join(by_doc, "_id").select("_id", word_array(F.col("_text")).alias("w"), "diagonals")
-        .select("_id", F.explode(F.transform("diagonals", lambda d: F.struct(
-            d["set"].alias("set"), d["shift"].alias("shift"))) ).alias("d"), "w")
-        .join(items.select("set", F.size("item_words").alias("n_item")).withColumnRenamed("set", "_set"), F.col("d.set") == F.col("_set"))
-        .select("_id", F.col("d.set").alias("set"), F.col("d.shift").alias("shift"),
-                F.slice("w", F.greatest(F.col("d.shift"), F.lit(0)) + 1, F.col("n_item") + F.least(F.col("d.shift"), F.lit(0))).alias("part"))
+        source.join(by_doc, "_id")
+        .select("_id", F.explode(bind(word_array(F.col("_text")), lambda w: F.transform("diagonals", lambda d: F.struct(
+            d["set"].alias("set"), d["shift"].alias("shift"),
+            F.slice(w, F.greatest(d["shift"], F.lit(0)) + 1, d["n_item"] + F.least(d["shift"], F.lit(0))).alias("part"))))).alias("d"))
+        .select("_id", "d.set", "d.shift", "d.part")
         .join(items.select("set", "item_words"), "set")
         .select("_id", "set", F.greatest("shift", F.lit(0)).alias("start"), F.least(F.size("item_words"), F.lit(WINDOW)).alias("need"),
                 bind(F.slice("item_words", F.greatest(-F.col("shift"), F.lit(0)) + 1, F.size("part")),
@@ -174,6 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     words = found.select("_id", F.explode("places").alias("place")).distinct().groupBy("_id").agg(F.count("*").alias("n_hit"))
     names = (
         found.select("_id", "set").distinct().join(items.select("set", F.explode("items").alias("item")), "set")
+        .select("_id", "item").distinct()  # an item may stand in several rows, with other texts
         .groupBy("_id").agg(F.count("*").alias("n_items"), F.array_join(F.sort_array(F.collect_list("item")), ",").alias("item_list"))
     )
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))

@@ -42,6 +42,8 @@ FAMILIES = {
 }
 UNKNOWN = "und"
 FEATURES = 1 << 13
+#: Training rows of all labels together: what the driver may be sent.
+MAX_ROWS = 9600
 
 
 def family(lang: str) -> str:
@@ -131,29 +133,38 @@ class Model:
         return lang, float(sure)
 
 
+class TooManyLabelsError(ValueError):
+    """More labels than rows that may be fetched."""
+
+
 def sample(docs: DataFrame, trainable: Column, *, id_col: str = "doc_id", text_col: str = "text",
-           lang_col: str = "lang", per_language: int = 300, max_languages: int = 32) -> list[tuple[str, bytes]]:
-    """(label, frequencies) of at most ``per_language`` rows of each of at most ``max_languages`` labels.
+           lang_col: str = "lang", per_language: int = 300, max_rows: int = MAX_ROWS) -> list[tuple[str, bytes]]:
+    """(label, frequencies) of some documents of every label, ``max_rows`` in all at most.
 
-    The vectors are made by the tasks from whole texts; what reaches the driver
-    is at most ``per_language * max_languages`` vectors of FEATURES half floats.
+    Each label has up to ``per_language`` documents, or its equal share of ``max_rows``
+    where there are so many labels that this is less.  Of rows of one id one is
+    taken.  The vectors are made by the tasks from whole texts; what reaches
+    the driver is at most ``max_rows`` vectors of FEATURES half floats.
     """
-    rows = docs.select(id_col, text_col, lang_col).filter(trainable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    langs = [r[0] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(max_languages).collect()]
-    draw = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col)), id_col)
-    chosen = (
-        rows.filter(F.col(lang_col).isin(langs)).select(id_col, lang_col)
-        .withColumn("_at", F.row_number().over(draw)).filter(F.col("_at") <= per_language).select(id_col).distinct()
-    )
-    found = rows.join(F.broadcast(chosen.limit(per_language * max_languages)), id_col, "left_semi")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), trainable.alias("_trainable"))
+    rows = rows.filter("_trainable and lang is not null and text is not null").select("id", "text", "lang")
+    labels = rows.select("lang").distinct().count()
+    if labels > max_rows:
+        raise TooManyLabelsError(f"{labels} labels, at most {max_rows} rows")
+    most = min(per_language, max_rows // max(1, labels))
+    draw = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    chosen = rows.select("id", "lang").withColumn("_at", F.row_number().over(draw)).filter(F.col("_at") <= most).select("id", "lang").distinct()
+    met = F.broadcast(chosen.limit(max_rows))  # the limit states the bound: there are no more rows
+    found = rows.join(met.select(F.col("id").alias("_id"), F.col("lang").alias("_lang")), F.col("id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
+    kind = dict(rows.dtypes)["id"]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, 0):
+        for batch, texts in slices(batches):
             vectors = [frequencies(t).astype(np.float16).tobytes() for t in texts.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(vectors, pa.binary())], ["lang", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(vectors, pa.binary())], ["id", "lang", "x"])
 
-    made = found.select(text_col, lang_col).mapInArrow(task, "lang string, x binary").collect()
-    return sorted(((r[0], bytes(r[1])) for r in made), key=lambda r: (r[0], r[1]))
+    made = found.mapInArrow(task, f"id {kind}, lang string, x binary").groupBy("id", "lang").agg(F.min("x").alias("x"))
+    return sorted(((r["lang"], bytes(r["x"])) for r in made.select("lang", "x").collect()), key=lambda r: (r[0], r[1]))
 
 
 def train(rows: list[tuple[str, bytes]]) -> Model:

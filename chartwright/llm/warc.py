@@ -2,10 +2,11 @@
 
 A payload is cut into chunks of bounded size; each is a row (record id, chunk
 number, bytes) and carries the digest of the payload so far, so the last chunk's
-digest is the payload's.  On disk a chunk is one WARC record: the first is the
+digest is the payload's.  This table is written once; sizes, digests and archives
+all come from its rows.  On disk a chunk is one WARC record: the first is the
 ``response``, the further ones are ``continuation`` records as the format's
-segmentation defines them.  No task holds more than one chunk beside the input
-row, and the reader streams archives line by line, so it holds no record at all.
+segmentation defines them.  Payloads are shuffled as chunks only; no task holds more than a few
+chunks beside the input row, and the reader streams archives line by line, so it holds no record at all.
 
 Records with equal payloads of at least ``min_revisit`` bytes: the one with the
 smallest id is the ``response``, the others are ``revisit`` records without a
@@ -27,11 +28,10 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartwright.plans.session import materialize, scratch_path
+from chartwright.plans.session import discard, materialize, scratch_path
 
 CHUNK = 1 << 20
 MIN_REVISIT = 100
@@ -52,52 +52,49 @@ def chunks(payload: memoryview | bytes, size: int) -> Iterator[bytes]:
             return
 
 
-def chunk_table(pages: DataFrame, *, id_col: str = "page_id", payload_col: str = "html", size: int = CHUNK) -> DataFrame:
-    """Rows (record_id, chunk_no, chunk, bytes_so_far, digest_so_far, last)."""
-    source = pages.select(F.col(id_col).cast("long").alias("record_id"), F.col(payload_col).alias("payload")).filter("record_id is not null")
+_CHUNK = pa.schema([("row", pa.int64()), ("record_id", pa.int64()), ("chunk_no", pa.int32()), ("url", pa.string()), ("chunk", pa.binary()),
+                    ("bytes_so_far", pa.int64()), ("digest_so_far", pa.string()), ("last", pa.bool_())])
+CHUNK_TABLE = "row long, record_id long, chunk_no int, url string, chunk binary, bytes_so_far long, digest_so_far string, last boolean"
 
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                payload = memoryview(batch.column(1)[i].as_buffer() or b"")
-                digest, done = hashlib.sha256(), 0
-                for number, chunk in enumerate(chunks(payload, size)):
-                    digest.update(chunk)
-                    done += len(chunk)
-                    yield pa.RecordBatch.from_pylist(
-                        [{"record_id": batch.column(0)[i].as_py(), "chunk_no": number, "chunk": chunk, "bytes_so_far": done,
-                          "digest_so_far": digest.hexdigest(), "last": done == len(payload)}], _CHUNK_SCHEMA)
-
-    return source.mapInArrow(
-        task, "record_id long, chunk_no int, chunk binary, bytes_so_far long, digest_so_far string, last boolean")
-
-
-_CHUNK_SCHEMA = pa.schema([("record_id", pa.int64()), ("chunk_no", pa.int32()), ("chunk", pa.binary()),
-                           ("bytes_so_far", pa.int64()), ("digest_so_far", pa.string()), ("last", pa.bool_())])
 
+def _payload(value: pa.Scalar) -> memoryview:
+    """The value's bytes in place, null as empty."""
+    return memoryview(value.as_buffer() or b"")
 
-def _payloads(column: pa.Array) -> list[memoryview]:
-    """The values' bytes in place, null as empty."""
-    column = pc.fill_null(column.cast(pa.string()), "")
-    return [memoryview(v.as_buffer()) for v in column]
 
+def chunk_table(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", size: int = CHUNK) -> DataFrame:
+    """Rows (row, record_id, chunk_no, url, chunk, bytes_so_far, digest_so_far, last); ``row`` tells equal ids apart,
+    the first chunk carries the url."""
+    source = pages.select(
+        F.col(id_col).cast("long").alias("record_id"), F.col(url_col).cast("string").alias("url"), F.col(payload_col).cast("string").alias("payload"),
+        F.monotonically_increasing_id().alias("row")).filter("record_id is not null")
 
-def digests(pages: DataFrame, *, id_col: str = "page_id", payload_col: str = "html", size: int = CHUNK) -> DataFrame:
-    """Per record: its id, payload size and digest, taken chunk by chunk; no payload leaves the task."""
-    source = pages.select(F.col(id_col).cast("long").alias("record_id"), F.col(payload_col).alias("payload")).filter("record_id is not null")
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        ids, urls, numbers = (batch.column(c).to_pylist() for c in (0, 1, 3))
+        for record_id, url, value, row in zip(ids, urls, batch.column(2), numbers, strict=True):
+            payload, digest, done = _payload(value), hashlib.sha256(), 0
+            for number, chunk in enumerate(chunks(payload, size)):
+                digest.update(chunk)
+                done += len(chunk)
+                yield row, record_id, number, url if number == 0 else None, chunk, done, digest.hexdigest(), done == len(payload)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, found = [], []
-            for payload in _payloads(batch.column(1)):
-                digest = hashlib.sha256()
-                for chunk in chunks(payload, size):
-                    digest.update(chunk)
-                sizes.append(len(payload))
-                found.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(found, pa.string())], ["record_id", "bytes", "digest"])
+            held, n = [], 0
+            for made in rows(batch):
+                held.append(made)
+                n += len(made[4])
+                if n >= 4 * CHUNK:
+                    yield _columns(held)
+                    held, n = [], 0
+            if held:
+                yield _columns(held)
 
-    return source.mapInArrow(task, "record_id long, bytes long, digest string")
+    return source.mapInArrow(task, CHUNK_TABLE)
+
+
+def _columns(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _CHUNK, strict=True)], schema=_CHUNK)
 
 
 def _record(fields: list[tuple[str, object]], block: str) -> str:
@@ -110,58 +107,61 @@ def _uri(record_id: int, segment: int = 1) -> str:
     return f"<urn:page:{record_id}>" if segment == 1 else f"<urn:page:{record_id}:{segment}>"
 
 
-def records(record_id: int, url: str | None, payload: memoryview | bytes, refers_to: int | None, *, date: str, size: int) -> Iterator[str]:
-    """The WARC records of one page, one for each chunk."""
-    digest = hashlib.sha256()
-    for chunk in chunks(payload, size):
-        digest.update(chunk)
-    target = "".join(c for c in url or "" if c not in "\r\n")
+def record(chunk: dict, whole: dict, *, date: str) -> str:
+    """The WARC record of one chunk; ``whole``: what is known of its payload (bytes, digest, refers_to)."""
+    record_id, number = chunk["record_id"], chunk["chunk_no"] + 1
+    target = "".join(c for c in whole["url"] or "" if c not in "\r\n")
     common = [("WARC-Date", date), *([("WARC-Target-URI", target)] if target else [])]
-    whole = [("WARC-Payload-Digest", f"sha256:{digest.hexdigest()}")]
-    if refers_to is not None:
-        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", _uri(record_id)), *common, *whole, ("WARC-Profile", _PROFILE), ("WARC-Refers-To", _uri(refers_to))], "")
-        return
-    http = f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: {len(payload)}{EOL}{EOL}"
-    many = len(payload) > size
-    done = 0
-    for number, chunk in enumerate(chunks(payload, size), 1):
-        done += len(chunk)
-        text = chunk.decode()
-        if number == 1:
-            fields = [("WARC-Type", "response"), ("WARC-Record-ID", _uri(record_id)), *common, *whole, ("Content-Type", "application/http;msgtype=response")]
-            yield _record(fields + [("WARC-Segment-Number", 1)] * many, http + text)
-        else:
-            fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", _uri(record_id, number)), *common,
-                      ("WARC-Segment-Origin-ID", _uri(record_id)), ("WARC-Segment-Number", number)]
-            yield _record(fields + [("WARC-Segment-Total-Length", len(http) + len(payload))] * (done == len(payload)), text)
+    told = [("WARC-Payload-Digest", f"sha256:{whole['digest']}")]
+    if whole["refers_to"] is not None:
+        return _record([("WARC-Type", "revisit"), ("WARC-Record-ID", _uri(record_id)), *common, *told, ("WARC-Profile", _PROFILE), ("WARC-Refers-To", _uri(whole["refers_to"]))], "")
+    http = f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: {whole['bytes']}{EOL}{EOL}"
+    text = chunk["chunk"].decode()
+    if number == 1:
+        fields = [("WARC-Type", "response"), ("WARC-Record-ID", _uri(record_id)), *common, *told, ("Content-Type", "application/http;msgtype=response")]
+        return _record(fields + [("WARC-Segment-Number", 1)] * (not chunk["last"]), http + text)
+    fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", _uri(record_id, number)), *common,
+              ("WARC-Segment-Origin-ID", _uri(record_id)), ("WARC-Segment-Number", number)]
+    return _record(fields + [("WARC-Segment-Total-Length", len(http) + whole["bytes"])] * chunk["last"], text)
 
 
 def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                    min_revisit: int = MIN_REVISIT, date: str = "2024-01-01T00:00:00Z", size: int = CHUNK) -> str:
-    """Write every row as WARC records below ``path``."""
-    known = materialize(digests(pages, id_col=id_col, payload_col=payload_col, size=size), "digests").filter(F.col("bytes") >= min_revisit)
-    first = known.groupBy("digest").agg(F.min("record_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1")
-    revisits = materialize(
-        known.join(first, "digest").filter(F.col("record_id") != F.col("refers_to")).select("record_id", "refers_to").distinct(), "revisits"
-    )
-    source = pages.select(F.col(id_col).cast("long").alias("record_id"), F.col(url_col).cast("string").alias("url"),
-                          F.col(payload_col).alias("payload")).filter("record_id is not null")
+    """Write every row as WARC records below ``path``.
+
+    The chunk table is written first.  Its last chunks tell sizes and digests, which decide the
+    revisits; the archives are made of its rows, which meet what is known of
+    their payload by row number and lie in order (row, chunk_no).
+    """
+    table = materialize(chunk_table(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, size=size), "chunks")
+    known = table.filter("last").select("row", "record_id", F.col("bytes_so_far").alias("bytes"), F.col("digest_so_far").alias("digest"))
+    first = known.filter(F.col("bytes") >= min_revisit).groupBy("digest").agg(F.min("record_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    urls = table.filter("chunk_no = 0").select("row", "url")
+    later = (F.col("bytes") >= min_revisit) & (F.col("record_id") != F.col("first"))
+    whole = materialize(
+        known.join(first, "digest", "left").join(urls, "row")
+        .select("row", "bytes", "digest", F.when(later, F.col("first")).alias("refers_to"), F.col("url").alias("target")), "payloads")
+    met = table.select("row", "record_id", "chunk_no", "chunk", "last").join(whole, "row").filter("refers_to is null or chunk_no = 0")
+    met = met.withColumn("chunk", F.when(F.col("refers_to").isNull(), F.col("chunk")))
+    columns = ["record_id", "chunk_no", "chunk", "last", "bytes", "digest", "refers_to", "target"]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, urls, refers = (batch.column(i).to_pylist() for i in (0, 1, 3))
             ready, held = [], 0
-            for record_id, url, payload, to in zip(ids, urls, _payloads(batch.column(2)), refers, strict=True):
-                for record in records(record_id, url, payload, to, date=date, size=size):
-                    ready.append(record)
-                    held += len(record)
-                    if held >= 4 * CHUNK:
-                        yield pa.RecordBatch.from_arrays([pa.array(ready, pa.string())], ["value"])
-                        ready, held = [], 0
+            for record_id, number, chunk, last, n, digest, to, url in zip(*(batch.column(c).to_pylist() for c in range(8)), strict=True):
+                made = record({"record_id": record_id, "chunk_no": number, "chunk": chunk, "last": last},
+                              {"bytes": n, "digest": digest, "refers_to": to, "url": url}, date=date)
+                ready.append(made)
+                held += len(made)
+                if held >= 4 * CHUNK:
+                    yield pa.RecordBatch.from_arrays([pa.array(ready, pa.string())], ["value"])
+                    ready, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(ready, pa.string())], ["value"])
 
-    rows = source.join(revisits, "record_id", "left").select("record_id", "url", "payload", "refers_to")
+    rows = met.repartition("row").sortWithinPartitions("row", "chunk_no").select(*columns)
     rows.mapInArrow(task, "value string").write.option("lineSep", EOL + EOL).option("compression", "gzip").text(path)
+    discard(table)
+    discard(whole)
     return path
 
 
