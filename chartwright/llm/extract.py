@@ -1,6 +1,8 @@
 """HTML extraction (5): minimum-cut labelling of a page's blocks.
 
-A page is cut into blocks of text at block-level tags.  A linear classifier
+A page is cut into blocks of text at block-level tags.  Text of a marked inline element
+(hidden, or with a class that names an advert, a label and the like) is a run
+of its own inside the block and is left out alone.  A linear classifier
 gives each block a score from its tags, its ancestors' class and id words, its
 link density and its wording (a word that marks the wrapper of most of the
 page's text costs little, and an article or main element below a wrapper named
@@ -79,7 +81,7 @@ LAYOUT_WORDS = frozenset(
     " footer foot header masthead topbar toolbar follow search form pagination pager tags skip toc rail byline meta".split()
 )
 #: A class such as has-sidebar tells what an element has or lacks, not what it is.
-HAVING = frozenset("has have having with no not without".split())
+HAVING = frozenset("has have having with no not without free".split())
 CONTENT_WORDS = frozenset("article articlebody content contents main post posts entry story text body prose maincontent".split())
 NOTICE = re.compile(
     r"\bcookies?\b|\bsubscribe\b|\bnewsletter\b|\badvertisement\b|\bsponsored\b|\ball rights reserved\b|\bprivacy policy\b"
@@ -94,6 +96,7 @@ class Weights:
 
     bias: float = -0.5
     boilerplate: float = -12.0
+    named_paragraph: float = -9.0
     wide_wrapper: float = -1.0
     inside_content: float = 5.0
     paragraph: float = 1.5
@@ -101,6 +104,7 @@ class Weights:
     item: float = -0.5
     bare: float = 1.0
     link_density: float = -5.0
+    content_links: float = -3.5
     words: float = 0.08
     most_words: float = 40.0
     sentence_end: float = 1.0
@@ -125,14 +129,21 @@ class Element:
 
 @dataclass(slots=True)
 class Block:
-    parent: Element
+    parent: Element  # the nearest block-level element; of a run, the marked inline one
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
+    run: bool = False  # text of a marked inline element, apart from the block around it
+    content: bool = False  # whether an element around some of it speaks for content
 
 
+#: Elements of running text: a layout word on one of them weighs less inside an article.
+TEXTUAL = frozenset("p pre blockquote".split())
 #: Marks: a word or tag that may name a layout, one that may not, and what nothing below can lift.
 LAYOUT, FOREIGN, FIXED = 1, 2, 3
+#: A heading of an article's header takes the article's mark, not the header's.
+LIFTED = -1
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 def _element(name: str, attrs: str, parent: Element | None) -> Element:
@@ -152,6 +163,8 @@ def _element(name: str, attrs: str, parent: Element | None) -> Element:
                 mark = FIXED if "display:none" in value.replace(" ", "") else mark
             elif value != "false":
                 mark = FIXED
+    if name in HEADINGS and mark == 0 and parent is not None and parent.name == "header" and parent.parent is not None and parent.parent.name == "article":
+        mark = LIFTED  # the article's own heading
     return Element(name, parent, parent.depth + 1 if parent else 0, mark, words, good, good or bool(parent and parent.content))
 
 
@@ -183,6 +196,8 @@ def _settle(found: list[Block]) -> None:
                 above = 0
         e.wrapped = bool(e.parent and e.parent.wrapped)
         own = e.mark
+        if own == LIFTED:
+            above, own = e.parent.parent.boilerplate, 0
         if own in WIDE and total and e.chars >= WIDE[own] * total:
             own, e.wrapped = 0, True
         e.boilerplate = max(above, own)
@@ -192,20 +207,37 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks of text in page order, with white space made single."""
     found: list[Block] = []
     stack = [Element("", None, 0, 0, False, False, False)]
-    block: Block | None = None
+    block: Block | None = None  # the block that text goes on with
+    run: Block | None = None  # the run of a marked inline element inside it
     links = at = 0
 
     def text(piece: str) -> None:
-        nonlocal block
-        if piece:
+        nonlocal block, run
+        if not piece:
+            return
+        marked, around = None, stack[-1]
+        while around.parent is not None and around.name not in BLOCKS:
+            marked = around if around.mark else marked
+            around = around.parent
+        if marked is None:
+            run = None
             if block is None:
                 if piece.isspace():
                     return
-                block = Block(stack[-1])
+                block = Block(around)
                 found.append(block)
-            block.pieces.append(piece)
-            if links:
-                block.linked += len(piece)
+            into = block
+        else:
+            if run is None or run.parent is not marked:
+                if block is not None:
+                    block.pieces.append(" ")  # where the run stands
+                run = Block(marked, run=True)
+                found.append(run)
+            into = run
+        into.pieces.append(piece)
+        into.content = into.content or stack[-1].content
+        if links:
+            into.linked += len(piece)
 
     open_ended: set[str] = set()  # nothing closes these from here on
     while token := _TOKEN.search(page, at):
@@ -229,7 +261,7 @@ def blocks(page: str) -> list[Block]:
             open_ended.add(name)
         breaks = name in BLOCKS
         if breaks:
-            block = None
+            block = run = None
         if end:
             if name == "a":
                 links = max(0, links - 1)
@@ -266,7 +298,7 @@ def blocks(page: str) -> list[Block]:
         b.text = " ".join(unescape("".join(b.pieces)).split())
     found = [b for b in found if b.text]
     _settle(found)
-    return found
+    return [b for b in found if not (b.run and b.parent.boilerplate)]
 
 
 def score(block: Block, w: Weights) -> float:
@@ -275,11 +307,14 @@ def score(block: Block, w: Weights) -> float:
     while own.parent is not None and own.name not in BLOCKS:
         own = own.parent
     s = w.bias
-    if parent.boilerplate:
+    named = parent.mark == LAYOUT and parent.boilerplate == LAYOUT and parent.name in TEXTUAL and not parent.parent.boilerplate
+    if named and block.content:
+        s += w.named_paragraph
+    elif parent.boilerplate:
         s += w.boilerplate
     elif parent.wrapped:
         s += w.wide_wrapper
-    if parent.content:
+    if block.content:
         s += w.inside_content
     if own.name in ("p", "pre", "blockquote"):
         s += w.paragraph
@@ -290,7 +325,8 @@ def score(block: Block, w: Weights) -> float:
     elif own.name in ("", "html", "body"):
         s += w.bare
     if block.linked:
-        s += w.link_density * min(1.0, block.linked / len(block.text))
+        clean = block.content and not parent.boilerplate
+        s += (w.content_links if clean else w.link_density) * min(1.0, block.linked / len(block.text))
     s += w.words * min(block.text.count(" ") + 1, w.most_words)
     if block.text[-1] in ".!?:;…。\"'”»)":
         s += w.sentence_end

@@ -365,3 +365,39 @@ def test_components_of_chains_stars_and_random_links(spark):
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: c for i, c in label.items() if any(a != b and i in (a, b) for a, b in links)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+LONG_TEXT = "The council met on Monday to talk about the new bridge, and after a long debate its members agreed on a plan that the town will pay for over ten years."
+
+
+@pytest.mark.parametrize(("body", "want"), [
+    # marked inline elements leave out their own run and nothing else
+    (f"<p><span class='share'>Berlin</span> {LONG_TEXT}</p>", LONG_TEXT),
+    (f"<p><b class='widget'>Box</b> {LONG_TEXT}</p>", LONG_TEXT),
+    (f"<p><label>Name</label> {LONG_TEXT}</p>", LONG_TEXT),
+    (f"<p>{LONG_TEXT} <span class='advert'>BUY NOW</span></p>", LONG_TEXT),
+    (f"<p>{LONG_TEXT[:40]}<span class='advert'>BUY NOW</span>{LONG_TEXT[40:]}</p>", f"{LONG_TEXT[:40].rstrip()} {LONG_TEXT[40:].lstrip()}"),
+    (f"<p>{LONG_TEXT} <span hidden>secret</span></p>", LONG_TEXT),
+    (f"<p>{LONG_TEXT} <i aria-hidden='true'>secret</i></p>", LONG_TEXT),
+    (f"<p>{LONG_TEXT} <span style='display: none'><b>sec</b>ret</span></p>", LONG_TEXT),
+    # unmarked ones stay, without a space of their own
+    (f"<p>{LONG_TEXT[:7]}<b>{LONG_TEXT[7:9]}</b>{LONG_TEXT[9:]}</p>", LONG_TEXT),
+    # a class that denies the word, a layout word on a paragraph of the article, the article's heading and its lists
+    (f"<p class='intro ad-free'>{LONG_TEXT}</p>", LONG_TEXT),
+    (f"<p class='note meta'>{LONG_TEXT}</p>", LONG_TEXT),
+    (f"<header><h1>A new bridge</h1><div class='byline'>By X</div></header><p>{LONG_TEXT}</p>", f"A new bridge {LONG_TEXT}"),
+    (f"<p>{LONG_TEXT}</p><ul><li><a href='/a'>Plan of the bridge</a></li><li><a href='/b'>Minutes of the council</a></li></ul><p>{LONG_TEXT}</p>",
+     f"{LONG_TEXT} Plan of the bridge Minutes of the council {LONG_TEXT}"),
+    (f"<p class='byline meta'>By X</p><p>{LONG_TEXT}</p>", LONG_TEXT),
+    (f"<p>{LONG_TEXT}</p><div class='share'><p>Tell your friends about this story now.</p></div>", LONG_TEXT),
+])
+def test_extraction_inside_an_article(body, want):
+    rest = f"<p>Second. {LONG_TEXT}</p>"
+    page = f"<html><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><article>{body}{rest}</article><footer><p>{LONG_TEXT}</p></footer></body></html>"
+    assert extract.main_text(page)[0] == f"{want} Second. {LONG_TEXT}"
+
+
+def test_extraction_of_a_page_inside_an_inline_wrapper():
+    """An inline element around everything is the page, whatever its name."""
+    page = f"<body><span class='header'>{LONG_TEXT}<br>{LONG_TEXT}<br>{LONG_TEXT}</span></body>"
+    assert extract.main_text(page)[0] == " ".join([LONG_TEXT] * 3)
