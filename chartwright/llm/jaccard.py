@@ -369,8 +369,8 @@ def _cells(batches: Iterable[pa.RecordBatch], n_keys: int = 3) -> Iterator[pa.Re
         yield pa.concat_batches(held)
 
 
-def _crossing(cell: pa.RecordBatch, t: Fraction) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, js): rows of a cell that may be links of sets in different components.
+def _crossing(cell: pa.RecordBatch, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j): rows of a cell that may be links of sets in different components, some rows i at a time.
 
     The smaller set asks, or either where both are of one size.  The sketches
     differ in few enough bits.  A pair is left to an earlier key where i's first asked keys
@@ -380,23 +380,29 @@ def _crossing(cell: pa.RecordBatch, t: Fraction) -> Iterator[tuple[int, np.ndarr
     key, lo, hi, size, _, asks, part, block = (cell.column(c).to_numpy() for c in range(8))
     asked, seen = (cell.column(c).flatten().to_numpy().reshape(-1, FIRST_KEYS) for c in (8, 9))
     bits = np.frombuffer(b"".join(cell.column(10).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
-    apart = lo[0] != hi[0]
-    for i in np.flatnonzero(asks).tolist():
-        low = int(np.searchsorted(size, size[i]))
-        top = int(np.searchsorted(size, size[i] * t.denominator // t.numerator, side="right"))
-        differs = part[low:top] != part[i]
-        if apart:
-            differs &= block[low:top] != block[i]
-        j = np.flatnonzero(differs) + low
-        most = (size[j] + size[i]) * (t.denominator - t.numerator) // (t.denominator + t.numerator)
-        j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(1) <= most]
-        own = asked[i]
-        here = np.flatnonzero(own == key[0])
-        earlier = own[: here[0]] if len(here) else own
-        if len(j) and len(earlier := earlier[earlier != 0]):
-            j = j[~np.isin(seen[j], earlier).any(axis=1)]
-        if len(j):
-            yield i, j
+    head = np.ascontiguousarray(bits[:, :4])
+    here = np.where((asked == key[0]).any(axis=1), (asked == key[0]).argmax(axis=1), FIRST_KEYS)
+    asked = np.where((np.arange(FIRST_KEYS) < here[:, None]) & (asked != 0), asked, 0)  # the asked keys before this one
+    low = np.searchsorted(size, size)
+    top = np.searchsorted(size, size * t.denominator // t.numerator, side="right")
+    places = np.arange(len(size))
+    rows = np.flatnonzero(asks)
+    step = max(1, (1 << 18) // max(1, len(size)))
+    for at in range(0, len(rows), step):
+        own = rows[at : at + step]
+        first, last = int(low[own].min()), int(top[own].max())
+        j = slice(first, last)
+        ok = (part[own][:, None] != part[j]) & (places[j] >= low[own][:, None]) & (places[j] < top[own][:, None])
+        if lo[0] != hi[0]:
+            ok &= block[own][:, None] != block[j]
+        most = (size[own][:, None] + size[j]) * (t.denominator - t.numerator) // (t.denominator + t.numerator)
+        ok &= np.bitwise_count(head[own][:, None] ^ head[j]).sum(axis=2, dtype=np.int32) <= most
+        of, to = np.nonzero(ok)
+        i, to = own[of], to + first
+        near = np.bitwise_count(bits[i] ^ bits[to]).sum(axis=1, dtype=np.int32) <= most[of, to - first]
+        i, to = i[near], to[near]
+        met = ((asked[i][:, :, None] == seen[to][:, None, :]) & (asked[i] != 0)[:, :, None]).any(axis=(1, 2))
+        yield i[~met], to[~met]
 
 
 _CELL = ("key", "lo", "hi", "size", "id", "asks", "component", "block", "asked", "seen", "sketch")
@@ -409,7 +415,7 @@ def _members_task(t: Fraction):
         for cell in _cells(batches):
             hit = np.zeros(cell.num_rows, bool)
             for i, j in _crossing(cell, t):
-                hit[i], hit[j] = True, True
+                hit[i] = hit[j] = True
             yield cell.select(["key", "lo", "hi", "id"]).filter(pa.array(hit))
 
     return task
@@ -423,8 +429,8 @@ def _links_task(t: Fraction):
             ident, part = cell.column(4).to_numpy().tolist(), cell.column(6).to_numpy().tolist()
             sets = [np.frombuffer(x, np.uint64) for x in cell.column(11).to_pylist()]
             joined, made = Forest(), []
-            for i, js in _crossing(cell, t):
-                for j in js.tolist():
+            for left, right in _crossing(cell, t):
+                for i, j in zip(left.tolist(), right.tolist(), strict=True):
                     if joined.find(part[i]) == joined.find(part[j]):
                         continue
                     both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -460,15 +466,15 @@ def _crossing_links(docs: DataFrame, long: DataFrame, k: int, t: Fraction) -> Da
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     cells = rows.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "size", "id", "asks", "component", "block")
-    cells = cells.join(materialize(firsts.join(drawn, "id"), "sketches"), "id").select(*_CELL)
+    sketches = materialize(firsts.join(drawn, "id"), "sketches")
 
     def by_cell(some: DataFrame) -> DataFrame:
         return some.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "size", "id")
 
-    hit = materialize(by_cell(cells).mapInArrow(_members_task(t), "key long, lo int, hi int, id long"), "members")
+    hit = materialize(by_cell(cells.join(sketches, "id").select(*_CELL)).mapInArrow(_members_task(t), "key long, lo int, hi int, id long"), "members")
     ids = materialize(hit.select("id").distinct(), "member-ids")
     sets = _sets(_among_ids(docs, ids).select("id", "text"), k)
-    full = cells.join(hit, ["key", "lo", "hi", "id"]).join(materialize(sets, "member-sets"), "id").select(*_CELL, "s")
+    full = cells.join(hit, ["key", "lo", "hi", "id"]).join(sketches, "id").join(materialize(sets, "member-sets"), "id").select(*_CELL, "s")
     return materialize(by_cell(full).mapInArrow(_links_task(t), "a long, b long").distinct(), "crossing")
 
 
