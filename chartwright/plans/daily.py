@@ -151,13 +151,18 @@ class ChartJob:
 
     @cached_property
     def _tops(self) -> dict[str, DataFrame]:
-        """The bounded top lists, cut once: read by the segments and the covers."""
-        return {"SME": self._cut(self.top_sme, "top-sme"), "ORCHARD": self._cut(self.top_orchard, "top-orchard")}
+        return {}
+
+    def _top(self, feed: str) -> DataFrame:
+        """A feed's bounded top list, cut once: read by its segments and its covers."""
+        if feed not in self._tops:
+            self._tops[feed] = self._cut(self.top_sme if feed == "SME" else self.top_orchard, f"top-{feed.lower()}")
+        return self._tops[feed]
 
     def segments(self, feed: str) -> DataFrame:
         p, i = self.params, self.inputs
         return C.segment_streams(
-            i.streams[feed], self.stream_days, p.markets, i.dim_partner, self._tops[feed], i.consumer_segments
+            i.streams[feed], self.stream_days, p.markets, i.dim_partner, self._top(feed), i.consumer_segments
         )
 
     def covers(self, feed: str) -> DataFrame:
@@ -169,7 +174,7 @@ class ChartJob:
     def feed_tracks(self, feed: str) -> DataFrame:
         p, i = self.params, self.inputs
         covers = C.best_cover(
-            i.streams[feed], i.dim_partner, p.run_date, p.home_market, p.cover_sources, p.cover_days, self._tops[feed]
+            i.streams[feed], i.dim_partner, p.run_date, p.home_market, p.cover_sources, p.cover_days, self._top(feed)
         )
         return C.feed_tracks(self.segments(feed), covers, feed)
 
