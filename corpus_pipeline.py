@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chartwright.llm import bpe, decontaminate, fertility, jaccard, passages
 from chartwright.llm.queries import PIECES, WORD_BPE, table
-from chartwright.plans.session import materialize
+from chartwright.plans.session import discard, materialize, stage_scope
 
 #: SQL cannot run a subword vocabulary; the stages are tested by brute force.
 ORACLE_SQL = None
@@ -62,8 +62,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage wrote on its way, and the stage before it, goes when its result is written."""
+    docs = source = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with stage_scope(spark):
+            made = materialize(stage(spark, docs, sf_dir), name, keep=True)
+        if docs is not source:
+            discard(docs)
+        docs = made
     return STAGES[-1][1](spark, docs, sf_dir)
