@@ -25,6 +25,8 @@ from chartwright.operators import edits as ED  # noqa: E402
 from chartwright.plans.session import materialize, scratch_path, tune  # noqa: E402
 from chartwright.sources import colocated as CO  # noqa: E402
 from chartwright.sources import ledger as LD  # noqa: E402
+from chartwright.sources import listing as WI  # noqa: E402
+from chartwright.sources import tables as TB  # noqa: E402
 from chartwright.sources import files as FS  # noqa: E402
 from chartwright.sources import playlist_store as PS  # noqa: E402
 from chartwright.sources.fixtures import staged_chart_inputs  # noqa: E402
@@ -379,6 +381,34 @@ def q_segment_pivot(spark, sf_dir):
     return C.segment_pivot(_job(spark, sf_dir).tracks)
 
 
+# --- S2, S5, S6 -------------------------------------------------------------------
+def q_statement_table(spark, sf_dir):
+    """A table made and filled by statements with parameters."""
+    mark = uuid.uuid4().hex[:12]
+    _job(spark, sf_dir).tracks.createOrReplaceTempView(f"tracks_{mark}")
+    TB.run_statement(spark, f"CREATE TABLE loud_{mark} (market STRING, track_isrc STRING, segment_name STRING, segment_streams BIGINT) "
+                            f"USING parquet LOCATION '{scratch_path(spark, 'loud')}'")
+    TB.run_statement(spark, f"INSERT INTO loud_{mark} SELECT market, track_isrc, segment_name, segment_streams FROM tracks_{mark} "
+                            "WHERE feed = :feed AND segment_streams >= :least", feed="SME", least=20)
+    return TB.read_table(spark, f"loud_{mark}")
+
+
+def q_whole_inventory(spark, sf_dir):
+    """Everything below an export of the customers by market, one file a market, and an empty folder: files, bytes and
+    whether times are given, hidden names put together."""
+    segments = inputs(spark, sf_dir).consumer_segments
+    root = scratch_path(spark, "listing")
+    lines = segments.select(F.concat_ws(",", F.col("consumer_key").cast("string"), "segment_name").alias("value"), F.col("country_code").alias("market"))
+    lines.repartition(1, "market").write.partitionBy("market").text(root)
+    spark.range(0).selectExpr("cast(id as string) as value").write.text(f"{root}/market=NONE")
+    found = WI.whole_inventory(spark, root)
+    hidden = F.col("filename").rlike("^[._]")
+    kind = F.when(~F.col("is_file"), "folder").when(hidden, "hidden").otherwise("data")
+    seen = found.filter((F.col("path") != "/market=NONE") & ((kind != "hidden") | (F.col("filename") == "_SUCCESS")))
+    return seen.groupBy("path", kind.alias("kind")).agg(
+        F.count("*").alias("n"), F.sum("filesize").alias("bytes"), F.count("modified_at").alias("n_times"))
+
+
 # --- limits that cut ----------------------------------------------------------
 def q_top_tracks_sme_100(spark, sf_dir):
     return _job(spark, sf_dir, top_n_sme=100).top_sme
@@ -507,6 +537,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_cover_rolling": q_best_cover_rolling,
         "segment_streams_colocated": q_segment_streams_colocated,
         "segment_pivot": q_segment_pivot,
+        "statement_table": q_statement_table,
+        "whole_inventory": q_whole_inventory,
     })
     if llm_queries is not None:
         q.update(llm_queries.queries())

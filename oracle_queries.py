@@ -541,6 +541,15 @@ def oracle_sql() -> dict[str, str]:
                        ON segment_name USING CAST(sum(segment_streams) AS BIGINT) GROUP BY market, track_isrc)
         UNION ALL BY NAME
         SELECT market, track_isrc FROM tracks GROUP BY 1, 2 HAVING count(segment_name) = 0""")
+    q["statement_table"] = _with(ch, """
+        SELECT market, track_isrc, segment_name, segment_streams FROM tracks WHERE feed = 'SME' AND segment_streams >= 20""")
+    q["whole_inventory"] = _with(fx, """
+        SELECT '' AS path, 'folder' AS kind, count(DISTINCT country_code) + 1 AS n, CAST(NULL AS BIGINT) AS bytes, count(DISTINCT country_code) + 1 AS n_times FROM scs
+        UNION ALL SELECT '', 'hidden', 1, 0, 1
+        UNION ALL
+        SELECT '/market=' || country_code, 'data', 1,
+               CAST(sum(strlen(CAST(consumer_key AS VARCHAR)) + coalesce(strlen(segment_name) + 1, 0) + 1) AS BIGINT), 1
+        FROM scs GROUP BY country_code""")
     q["batch_replay"] = q["playlist_items"]
     q["playlist_pages"] = q["playlist_items"]
     q["segment_streams_colocated"] = q["segment_streams_sme"]

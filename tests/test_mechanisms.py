@@ -351,3 +351,18 @@ def test_pivot_finds_its_columns(spark):
     with pytest.raises(C.TooManySegmentsError):
         C.segment_pivot(tracks, most=2)
     assert C.segment_pivot(tracks.filter("segment_name is null")).columns == ["market", "track_isrc"]
+
+
+# -- whole inventory -------------------------------------------------------------------
+def test_inventory_lists_hidden_names_and_empty_folders(spark, tmp_scratch):
+    from chartwright.sources.listing import whole_inventory
+
+    root = folder(tmp_scratch, {"a.csv": "12345", "_hidden": "1", ".dot/inner.txt": "123", "deep/er/file": ""})
+    os.makedirs(f"{root}/empty/nested")
+    got = {(r["path"], r["filename"], r["filesize"], r["is_file"]) for r in whole_inventory(spark, root).collect()}
+    assert got == {
+        ("", "a.csv", 5, True), ("", "_hidden", 1, True), ("", ".dot", None, False), ("/.dot", "inner.txt", 3, True), ("", "deep", None, False),
+        ("/deep", "er", None, False), ("/deep/er", "file", 0, True), ("", "empty", None, False), ("/empty", "nested", None, False)}
+    assert all(r["modified_at"] is not None for r in whole_inventory(spark, f"file://{root}").collect())
+    with pytest.raises(ValueError, match="not mounted"):
+        whole_inventory(spark, "s3a://bucket/x")
