@@ -138,33 +138,38 @@ class Plan:
         return max(1, ceil(self.ratio**band / 3))
 
 
-def segments(s: np.ndarray, m: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segment number of each filled segment, its element count, its subset's hash, and each element's segment (as index).
+def dealing(s: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """What places each element in a segment, whatever their number, and its hash."""
+    return mix(s ^ _U(salt)) >> _U(32), mix(s)
+
+
+def segments(dealt: tuple[np.ndarray, np.ndarray], m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segment number of each filled segment, where it begins in the order of segments, its subset's hash, and that order.
 
     The hash of a subset is the sum of its elements' hashes, so deletions are differences.
     """
-    number = (mix(s ^ _U(salt)) >> _U(32)) * _U(m) >> _U(32)
+    place, hashes = dealt
+    number = place * _U(m) >> _U(32)
     order = np.argsort(number.astype(np.uint16) if m <= 1 << 16 else number, kind="stable")
     n = number[order]
     cut = np.flatnonzero(np.concatenate(([True], n[1:] != n[:-1])))
-    sums = np.add.reduceat(mix(s[order]), cut)
-    sizes = np.diff(np.append(cut, len(n)))
-    which = np.empty(len(s), np.int64)
-    which[order] = np.repeat(np.arange(len(cut)), sizes)
-    return n[cut], sizes, sums, which
+    return n[cut], cut, np.add.reduceat(hashes[order], cut), order
 
 
 def _keys(sums: np.ndarray, number: np.ndarray, band: int, kind: int) -> np.ndarray:
     return mix(sums + mix(number * _U(1024) + _U(2 * band + kind)))
 
 
-def fine_keys(s: np.ndarray, frequent: np.ndarray, plan: Plan, band: int) -> np.ndarray:
+def infrequent(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How the set's infrequent elements are dealt into segments for exact subsets."""
+    return dealing(s[~_among(s, frequent)] if len(frequent) else s, 1)
+
+
+def fine_keys(rare: tuple[np.ndarray, np.ndarray], plan: Plan, band: int) -> np.ndarray:
     """Keys of the exact subsets of the infrequent elements, under a band."""
-    if len(frequent):
-        s = s[~_among(s, frequent)]
-    if not len(s):
-        return s
-    number, _, sums, _ = segments(s, plan.fine(band), 1)
+    if not len(rare[0]):
+        return rare[0]
+    number, _, sums, _ = segments(rare, plan.fine(band))
     return _keys(sums, number, band, 0)
 
 
@@ -174,11 +179,14 @@ def _among(s: np.ndarray, listed: np.ndarray) -> np.ndarray:
 
 
 def coarse_keys(s: np.ndarray, plan: Plan, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Subset keys, deletion keys (one for each element of segments of two or more), their segments, and sizes."""
-    number, sizes, sums, which = segments(s, plan.coarse(band), 2)
+    """Subset keys, deletion keys (one for each element of segments of two or more), every element's segment, and sizes."""
+    number, cut, sums, order = segments(dealing(s, 2), plan.coarse(band))
+    sizes = np.diff(np.append(cut, len(s)))
+    which = np.empty(len(s), np.int64)
+    which[order] = np.repeat(np.arange(len(cut)), sizes)
     many = sizes[which] > 1
     deleted = _keys(sums[which[many]] - mix(s[many]), number[which[many]], band, 1)
-    return _keys(sums, number, band, 1), deleted, which[many], sizes
+    return _keys(sums, number, band, 1), deleted, which, sizes
 
 
 def asked_keys(s: np.ndarray, frequent: np.ndarray, plan: Plan, n_fine: int) -> np.ndarray | None:
@@ -189,10 +197,10 @@ def asked_keys(s: np.ndarray, frequent: np.ndarray, plan: Plan, n_fine: int) ->
     band, h = plan.band(len(s)), plan.differences(len(s))
     if n_fine > h:
         return None
-    subset, deleted, of, sizes = coarse_keys(s, plan, band)
+    subset, deleted, which, sizes = coarse_keys(s, plan, band)
+    of = which[sizes[which] > 1]
     rare = np.zeros(len(sizes), np.int64)
     rare_elements = ~_among(s, frequent) if len(frequent) else np.ones(len(s), bool)
-    _, _, _, which = segments(s, plan.coarse(band), 2)
     np.add.at(rare, which, rare_elements)
     order = np.lexsort((np.arange(len(sizes)), -np.minimum(rare, 3)))
     worth = np.where(sizes > 1, 2, 1)
@@ -527,7 +535,7 @@ def _asked(docs: DataFrame, k: int, plan: Plan, frequent) -> DataFrame:
             for ident, s in zip(_ids(batch).tolist(), shingle_sets(texts, k), strict=True):
                 if not len(s):
                     continue
-                n = len(fine_keys(s, frequent.value, plan, plan.band(len(s))))
+                n = len(fine_keys(infrequent(s, frequent.value), plan, plan.band(len(s))))
                 keys = asked_keys(s, frequent.value, plan, n)
                 found = [(COUNT, np.array([ident], np.uint64), n)] if keys is None else [(KEY, keys, 0), (ELEMENT, s, 0)]
                 for kind, value, n in found:
@@ -552,7 +560,8 @@ def _filed(docs: DataFrame, k: int, plan: Plan, frequent, wanted) -> DataFrame:
     def rows_of(s: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         n = len(s)
         band, lowest = plan.band(n), plan.lowest(n)
-        fine = {b: fine_keys(s, frequent.value, plan, b) for b in range(lowest, band + 1)}
+        rare = infrequent(s, frequent.value)
+        fine = {b: fine_keys(rare, plan, b) for b in range(lowest, band + 1)}
         ask = asked_keys(s, frequent.value, plan, len(fine[band]))
         for b, keys in fine.items():
             yield keys, np.full(len(keys), ask is None and b == band)
