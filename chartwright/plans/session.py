@@ -110,20 +110,21 @@ def stage_scope(spark: SparkSession):
             remove(spark, path)
 
 
-def materialize(df: DataFrame, name: str = "stage", *, keep: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", *, keep: bool = False, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet into the shared scratch folder and read it back.
 
     This is the lineage cut used between job stages: one computation (a
     reliable ``checkpoint()`` computes its input twice unless cached), files
     on the shared filesystem survive a lost executor, and the read-back plan
     carries real file sizes, so the next joins are planned from them.
-    ``keep``: the stage outlives the enclosing ``stage_scope``.
+    ``keep``: the stage outlives the enclosing ``stage_scope``; ``compression``: a
+    Parquet codec other than the session's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     if _stages and not keep:
         _stages[-1].append(path)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     staged = spark.read.parquet(path)
     _stage_of[id(staged)] = (weakref.ref(staged), path)
     return staged
