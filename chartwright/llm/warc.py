@@ -133,7 +133,7 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
     revisits; the archives are made of its rows, which meet what is known of
     their payload by row number and lie in order (row, chunk_no).
     """
-    table = materialize(chunk_table(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, size=size), "chunks")
+    table = materialize(chunk_table(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, size=size), "chunks", compression="zstd")
     known = table.filter("last").select("row", "record_id", F.col("bytes_so_far").alias("bytes"), F.col("digest_so_far").alias("digest"))
     first = known.filter(F.col("bytes") >= min_revisit).groupBy("digest").agg(F.min("record_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     urls = table.filter("chunk_no = 0").select("row", "url")
