@@ -150,11 +150,18 @@ def test_texts_are_not_dealt_by_the_conversation_alone(spark):
 
     turns = spark.createDataFrame([(1, 1, "a", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.rotate(turns)._jdf.queryExecution().sparkPlan().toString()
-    joins = re.findall(r"\w*Join \[([^\]]*)\], \[([^\]]*)\]", plan)
-    assert any("chunk_no" in left for left, _ in joins) and len(joins) == 3
-    for line in plan.splitlines():  # what meets under the conversation alone carries no words
-        if "Join [c#" in line and "chunk_no" not in line.split("],")[0]:
-            assert "words" not in line
+    keys = [{c.split("#")[0] for c in left.split(", ")} for left in re.findall(r"\w*Join \[([^\]]*)\], \[", plan)]
+    assert {"c", "chunk_no"} in keys and {"c", "participant", "chunk_no"} in keys
+    lines = plan.splitlines()
+    alone = [i for i, line in enumerate(lines) if re.search(r"Join \[c#\d+L?\], \[c#", line)]
+    assert alone  # chunk numbers meet speakers there; the rows below carry no words
+    for i in alone:
+        depth = re.search(r"\w", lines[i]).start()
+        for line in lines[i + 1 :]:
+            if re.search(r"\w", line).start() <= depth:
+                break
+            assert "HashAggregate" not in line or "words" not in line
+    assert all("words" not in line for line in lines if "Window " in line)
 
 
 # -- op9_warc ------------------------------------------------------------------------
