@@ -52,10 +52,10 @@ def rotate(turns: DataFrame, *, conversation_col: str = "conv_id", turn_col: str
         .otherwise(F.concat(F.lit(f"{OPEN}user name="), "speaker", F.lit("\n")))
     )
     key = ["c", "participant", "chunk_no"]
-    size = (F.length("head") + F.length("words") + len(CLOSE)).cast("long")
     rendered = said.withColumn("head", head).withColumn("own", own)
-    # where each chunk begins: running sums of the chunks' lengths alone
-    lengths = rendered.groupBy(*key).agg(F.sum(size).alias("size"))
+    # where each chunk begins: running sums of the chunks' lengths alone, which meet without the texts
+    narrow = rows.select("c", "chunk_no", "speaker", "named", F.length("words").alias("n")).join(parts, ["c", "chunk_no"])
+    lengths = narrow.groupBy(*key).agg(F.sum((F.length(head) + F.col("n") + len(CLOSE)).cast("long")).alias("size"))
     before = Window.partitionBy("c", "participant").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
     starts = lengths.select(*key, F.coalesce(F.sum("size").over(before), F.lit(0).cast("long")).alias("start"))
     grouped = rendered.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "words", "head", "own"))).alias("m"))
