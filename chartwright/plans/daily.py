@@ -97,7 +97,7 @@ class ChartJob:
     by the match).  That cuts lineage, so a lost executor recomputes from
     these tables, not from the raw facts.  Facts are expected in the
     production layout, partitioned by ``report_date, country_code_stream``
-    (see ``sources.fixtures.stage_inputs`` for the test data).
+    (see ``sources.fixtures.StagedInputs`` for the test data).
     """
 
     inputs: ChartInputs

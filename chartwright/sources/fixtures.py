@@ -12,7 +12,9 @@ segment (a NULL one); the one ``%`` predicate adds genre rows (fan-out).
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,44 +80,61 @@ def _region_of(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-def chart_inputs(spark: SparkSession, sf_dir: str) -> ChartInputs:
-    t = lambda name: read_table(spark, sf_dir, name)
-    lineitem, orders, customer = t("lineitem"), t("orders"), t("customer")
-    supplier, part, events = t("supplier"), t("part"), t("events")
+STREAM_COLUMNS = (
+    "partner_info_key", "consumer_key", "num_streams", "report_date", "country_code_stream", "country_code", "source_type_key",
+)
+#: Line status -> feed.
+_FEED_OF_STATUS = {"O": "SME", "F": "ORCHARD"}
+
+
+def _with_region(df: DataFrame, nation_col: str, sf_dir: str) -> DataFrame:
+    t = lambda name: read_table(df.sparkSession, sf_dir, name)
     nation_region = F.broadcast(_region_of(t("nation"), t("region")))
+    return df.join(nation_region, F.col(nation_col) == nation_region.n_nationkey)
 
-    cust_region = (
-        customer.join(nation_region, customer.c_nationkey == nation_region.n_nationkey)
-        .select(
-            "c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment_name"),
-            F.col("r_name").alias("c_region"),
-        )
-    )
-    supp_region = (
-        supplier.join(nation_region, supplier.s_nationkey == nation_region.n_nationkey)
-        .select(F.col("s_suppkey"), F.col("r_name").alias("s_region"))
-    )
 
-    lines = (
-        lineitem.select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_linestatus", "l_shipdate",
-        )
-        .join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
-        .join(supp_region, F.col("l_suppkey") == F.col("s_suppkey"))
+def segments_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_region(read_table(spark, sf_dir, "customer"), "c_nationkey", sf_dir).select(
+        F.col("c_custkey").alias("consumer_key"), F.col("r_name").alias("country_code"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment_name"),
     )
 
-    def streams(status: str) -> DataFrame:
-        return lines.filter(F.col("l_linestatus") == status).select(
+
+def facts_view(spark: SparkSession, sf_dir: str, consumer_segments: DataFrame) -> DataFrame:
+    """The streams of both feeds, with a ``feed`` column.
+
+    An order's customer is found before its lines are, so the lines are shuffled once, by order, and narrow."""
+    lineitem, orders = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
+    regions = consumer_segments.select("consumer_key", "country_code")
+    located = orders.select("o_orderkey", "o_custkey").join(regions, F.col("o_custkey") == F.col("consumer_key"))
+    supp_region = _with_region(read_table(spark, sf_dir, "supplier"), "s_nationkey", sf_dir).select(
+        F.col("s_suppkey"), F.col("r_name").alias("country_code_stream"))
+    feed = None
+    for status, name in _FEED_OF_STATUS.items():
+        feed = (F if feed is None else feed).when(F.col("l_linestatus") == status, F.lit(name))
+    return (
+        lineitem.select(
+            "l_orderkey", "l_suppkey",
             F.col("l_partkey").alias("partner_info_key"),
-            F.col("o_custkey").alias("consumer_key"),
             F.col("l_quantity").cast("bigint").alias("num_streams"),
             F.to_date(F.date_trunc("year", F.col("l_shipdate"))).alias("report_date"),
-            F.col("s_region").alias("country_code_stream"),
-            F.col("c_region").alias("country_code"),
             F.col("l_linenumber").alias("source_type_key"),
+            feed.alias("feed"),
         )
+        .filter("feed is not null")
+        .join(located, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(supp_region, F.col("l_suppkey") == F.col("s_suppkey"))
+        .select("feed", *STREAM_COLUMNS)
+    )
+
+
+def chart_inputs(spark: SparkSession, sf_dir: str, consumer_segments: DataFrame | None = None) -> ChartInputs:
+    """The inputs as views; ``consumer_segments``: that view as stored, so that joins with it are planned from its size."""
+    t = lambda name: read_table(spark, sf_dir, name)
+    lineitem, orders, part, events = t("lineitem"), t("orders"), t("part"), t("events")
+    if consumer_segments is None:
+        consumer_segments = segments_view(spark, sf_dir)
+    facts = facts_view(spark, sf_dir, consumer_segments)
 
     isrc = _isrc(F.col("p_brand"), F.col("p_size"))
     dim_partner = part.select(
@@ -139,10 +158,6 @@ def chart_inputs(spark: SparkSession, sf_dir: str) -> ChartInputs:
         )
     )
 
-    consumer_segments = cust_region.select(
-        F.col("c_custkey").alias("consumer_key"), F.col("c_region").alias("country_code"), "segment_name"
-    )
-
     release_track_details = part.join(lineitem, F.col("p_partkey") == F.col("l_partkey")).select(
         isrc.alias("isrc"),
         F.col("p_type").alias("genre_name"),
@@ -157,16 +172,14 @@ def chart_inputs(spark: SparkSession, sf_dir: str) -> ChartInputs:
         F.col("l_partkey").alias("product_key"), F.to_date(F.col("l_shipdate")).alias("release_date")
     )
 
-    view_rows = events.join(
-        cust_region.select("c_custkey", "c_region"), F.col("user_id") == F.col("c_custkey")
-    )
+    view_rows = events.join(consumer_segments.select("consumer_key", "country_code"), F.col("user_id") == F.col("consumer_key"))
 
     def views(is_sme: bool) -> DataFrame:
         cond = F.col("event_type") == "view"
         return view_rows.filter(cond if is_sme else ~cond).select(
             F.get_json_object(F.col("props"), "$.k").cast("bigint").alias("partner_info_key"),
             F.round(F.col("value") * 100).cast("bigint").alias("creations"),
-            F.col("c_region").alias("country_code"),
+            "country_code",
             F.to_date(F.col("ts")).alias("report_date"),
         )
 
@@ -177,7 +190,7 @@ def chart_inputs(spark: SparkSession, sf_dir: str) -> ChartInputs:
         F.concat(F.col("p_type"), F.lit(" "), F.col("p_name")).alias("track_title"),
     )
 
-    streams_by_feed = {"SME": streams("O"), "ORCHARD": streams("F")}
+    streams_by_feed = {f: facts.filter(F.col("feed") == f).select(*STREAM_COLUMNS) for f in _FEED_OF_STATUS.values()}
     views_by_feed = {"SME": views(True), "ORCHARD": views(False)}
     return ChartInputs(
         streams=streams_by_feed,
@@ -195,52 +208,80 @@ def chart_inputs(spark: SparkSession, sf_dir: str) -> ChartInputs:
     ).with_load_status()
 
 
-# (application id, data folder) -> staged inputs of that session.
-_STAGED: dict[tuple[str, str], ChartInputs] = {}
-
-# Layout of the staged stand-ins, as the production tables would be laid out.
-_PARTITIONING = {
-    "streams": ("report_date", "country_code_stream"),
-    "views": ("report_date",),
-}
-
-
-def stage_inputs(inputs: ChartInputs, base_path: str) -> ChartInputs:
-    """Write every stand-in input once as Parquet and read it back.
+class StagedInputs:
+    """``chart_inputs``, each written as Parquet when it is first asked for, and read back.
 
     The stand-ins are joins over the driver's tables; in production the same
-    inputs are stored tables.  Facts are written clustered by their layout
-    columns, so a later day/market slice is a partition-pruned scan; the
-    rebalance splits a large day and market over as many tasks and files as
-    its size asks for.  Dimensions are written as they are.
+    inputs are stored tables.  Facts are written in their layout, so a later
+    day/market slice is a partition-pruned scan, the streams of both feeds in
+    one pass over the lines; the rebalance splits a large day and market over
+    as many tasks and files as its size asks for.  An input that no one asks
+    for is not built, and a projection of one table is read where it is.
     """
-    base = base_path.rstrip("/")
 
-    def write(df: DataFrame, name: str, layout: tuple[str, ...] = ()) -> DataFrame:
-        path = f"{base}/{name}"
+    def __init__(self, spark: SparkSession, sf_dir: str, base_path: str):
+        self._spark, self._sf_dir, self._base = spark, sf_dir, base_path.rstrip("/")
+
+    def _write(self, df: DataFrame, name: str, layout: tuple[str, ...] = ()) -> DataFrame:
+        path = f"{self._base}/{name}"
         w = (df.hint("rebalance", *layout) if layout else df).write
         (w.partitionBy(*layout) if layout else w).parquet(path)
-        return df.sparkSession.read.parquet(path).select(*df.columns)
-
-    streams = {f: write(df, f"streams_{f.lower()}", _PARTITIONING["streams"]) for f, df in inputs.streams.items()}
-    views = {f: write(df, f"views_{f.lower()}", _PARTITIONING["views"]) for f, df in inputs.views.items()}
-    dims = {
-        name: write(getattr(inputs, name), name)
-        for name in (
-            "dim_partner", "products_genre", "consumer_segments", "release_track_details",
-            "catalog_tracks", "catalog_albums", "products", "product_releases", "dim_partner_tt",
-        )
-    }
-    staged = replace(inputs, streams=streams, views=views, **dims)
-    return replace(staged, load_status=write(load_status_of(staged), "load_status"))
+        return self._spark.read.parquet(path).select(*df.columns)
+
+    @cached_property
+    def _views(self) -> ChartInputs:
+        return chart_inputs(self._spark, self._sf_dir, self.consumer_segments)
+
+    @cached_property
+    def consumer_segments(self) -> DataFrame:
+        return self._write(segments_view(self._spark, self._sf_dir), "consumer_segments")
+
+    @cached_property
+    def streams(self) -> dict[str, DataFrame]:
+        facts = facts_view(self._spark, self._sf_dir, self.consumer_segments)
+        self._write(facts, "streams", ("feed", "report_date", "country_code_stream"))
+        return {f: self._spark.read.parquet(f"{self._base}/streams/feed={f}").select(*STREAM_COLUMNS) for f in self._views.streams}
+
+    @cached_property
+    def views(self) -> dict[str, DataFrame]:
+        return {
+            f: self._write(df, f"views_{f.lower()}", ("report_date",)) for f, df in self._views.views.items()
+        }
+
+    @cached_property
+    def release_track_details(self) -> DataFrame:
+        return self._write(self._views.release_track_details, "release_track_details")
+
+    @cached_property
+    def catalog_albums(self) -> DataFrame:
+        return self._write(self._views.catalog_albums, "catalog_albums")
+
+    @cached_property
+    def load_status(self) -> DataFrame:
+        return self._write(load_status_of(self), "load_status")
+
+    def stage(self) -> "StagedInputs":
+        """Everything at once."""
+        for name in ("consumer_segments", "streams", "views", "release_track_details", "catalog_albums", "load_status"):
+            getattr(self, name)
+        return self
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in ("dim_partner", "products_genre", "catalog_tracks", "products", "product_releases", "dim_partner_tt"):
+            return getattr(self._views, name)
+        raise AttributeError(name)
+
+
+# (application id, data folder) -> staged inputs of that session.
+_STAGED: dict[tuple[str, str], StagedInputs] = {}
 
 
-def staged_chart_inputs(spark: SparkSession, sf_dir: str, base_path_for) -> ChartInputs:
-    """``chart_inputs`` staged once per Spark application and data folder.
+def staged_chart_inputs(spark: SparkSession, sf_dir: str, base_path_for: Callable[[SparkSession], str]) -> StagedInputs:
+    """``chart_inputs``, each staged once per Spark application and data folder.
 
     ``base_path_for(spark)`` names a fresh folder in the shared scratch area.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _STAGED:
-        _STAGED[key] = stage_inputs(chart_inputs(spark, sf_dir), base_path_for(spark))
+        _STAGED[key] = StagedInputs(spark, sf_dir, base_path_for(spark))
     return _STAGED[key]
