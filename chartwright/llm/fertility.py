@@ -138,12 +138,15 @@ class Fertility:
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=model_file)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
-        self.known = WordCache(lambda word: self._encode([word])[0])
+        self.known = WordCache(self._encode_one)
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         found = self.pieces.encode([w.decode("utf-8", "replace") for w in words], num_threads=1)
         return [array("i", ids).tobytes() for ids in found]
 
+    def _encode_one(self, word: bytes) -> bytes:
+        return self._encode([word])[0]
+
     def tokens(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts one after another, and where each text's begin.
 
